@@ -10,7 +10,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import matches_label
-from .series import alert_hold, counter_increase, latest_state, seconds
+from .latest import latest_per_key
+from .series import alert_state, counter_increase, seconds
 
 COMPARE: dict[str, Callable] = {
     ">": operator.gt, "<": operator.lt, "==": operator.eq, "!=": operator.ne,
@@ -42,11 +43,10 @@ class Rule:
     divisor: str | None = None
     member: tuple[str, float] = ("==", 1.0)
 
-    def selects(self, metric: str, name: str | None = None) -> Column:
-        chosen = F.col(metric) == (name or self.metric)
-        if self.label:
-            chosen = chosen & matches_label(self.label, self.pattern, self.regex)
-        return chosen
+    def selects(self) -> Column:
+        if self.label is None:
+            return F.lit(True)
+        return matches_label(self.label, self.pattern, self.regex)
 
 
 def _per_rule(rules: Sequence[Rule], pick: Callable[[Rule], object]) -> Column:
@@ -60,17 +60,34 @@ def _compared(rules: Sequence[Rule], value: str = "value") -> Column:
     return _per_rule(rules, lambda r: COMPARE[r.op](F.col(value), F.lit(float(r.threshold))))
 
 
-def _tagged(samples: DataFrame, rules: Sequence[Rule], metric: str) -> DataFrame:
-    """Samples once per rule they belong to: a per-row list, not a join."""
-    hits = [F.when(rule.selects(metric), F.lit(rule.name)) for rule in rules]
-    wanted = sorted({rule.metric for rule in rules})
-    return samples.filter(F.col(metric).isin(*wanted)).withColumn(
-        "rule", F.explode(F.array_compact(F.array(*hits)))
+def _tagged(
+    samples: DataFrame, choices: Sequence[tuple[str, Column, Column]], metric: str
+) -> DataFrame:
+    """Samples once per rule they belong to, as ``_tag``.
+
+    ``choices`` are (metric, condition, tag). The tags of a sample are a short
+    list per metric, so no rule table is joined and other metrics are not read.
+    """
+    by_metric: dict[str, list[Column]] = {}
+    for name, condition, tag in choices:
+        by_metric.setdefault(name, []).append(F.when(condition, tag))
+    lists = F
+    for name, tags in by_metric.items():
+        lists = lists.when(F.col(metric) == name, F.array(*tags))
+    return (
+        samples.filter(F.col(metric).isin(*sorted(by_metric)))
+        .withColumn("_tag", F.explode(lists))
+        .filter(F.col("_tag").isNotNull())
     )
 
 
+def _by_rule(samples: DataFrame, rules: Sequence[Rule], metric: str) -> DataFrame:
+    choices = [(rule.metric, rule.selects(), F.lit(rule.name)) for rule in rules]
+    return _tagged(samples, choices, metric).withColumnRenamed("_tag", "rule")
+
+
 def _gauge(samples, rules, labels, step, metric, ts):
-    return _tagged(samples, rules, metric).select(
+    return _by_rule(samples, rules, metric).select(
         "rule", *labels, ts, F.col("value").cast("double").alias("value"),
         _compared(rules).alias("condition"),
     )
@@ -81,7 +98,7 @@ def _growth(samples, rules, labels, step, metric, ts):
     for range_s in sorted({rule.range_s for rule in rules}):
         same = [rule for rule in rules if rule.range_s == range_s]
         grown = counter_increase(
-            _tagged(samples, same, metric).select("rule", *labels, ts, "value"),
+            _by_rule(samples, same, metric).select("rule", *labels, ts, "value"),
             ["rule", *labels], ts, "value", range_s,
         )
         value = F.col("increase") / _per_rule(
@@ -102,16 +119,12 @@ def _last_in_step(tagged, labels, step, ts, *by):
 
 
 def _ratio(samples, rules, labels, step, metric, ts):
-    sides = []
+    choices = []
     for rule in rules:
-        sides.append(F.when(rule.selects(metric), F.struct(
-            F.lit(rule.name).alias("rule"), F.lit(True).alias("upper"))))
-        sides.append(F.when(rule.selects(metric, rule.divisor), F.struct(
-            F.lit(rule.name).alias("rule"), F.lit(False).alias("upper"))))
-    wanted = sorted({m for rule in rules for m in (rule.metric, rule.divisor)})
-    both = samples.filter(F.col(metric).isin(*wanted)).select(
-        *labels, ts, "value", F.inline(F.array_compact(F.array(*sides)))
-    )
+        for name, upper in ((rule.metric, True), (rule.divisor, False)):
+            side = F.struct(F.lit(rule.name).alias("rule"), F.lit(upper).alias("upper"))
+            choices.append((name, rule.selects(), side))
+    both = _tagged(samples, choices, metric).select(*labels, ts, "value", "_tag.rule", "_tag.upper")
     window = F.window(ts, f"{int(step.total_seconds())} seconds").alias("_w")
     paired = both.groupBy("rule", *labels, window).agg(
         F.max_by("value", F.when(F.col("upper"), F.col(ts))).alias("_upper"),
@@ -128,7 +141,7 @@ def _ratio(samples, rules, labels, step, metric, ts):
 def _count(samples, rules, labels, step, metric, ts):
     passes = _per_rule(rules, lambda r: COMPARE[r.member[0]](F.col("value"), F.lit(r.member[1])))
     counted = (
-        _last_in_step(_tagged(samples, rules, metric), labels, step, ts)
+        _last_in_step(_by_rule(samples, rules, metric), labels, step, ts)
         .groupBy("rule", F.col("_w.start").alias(ts))
         .agg(F.count_if(passes).cast("double").alias("value"))
     )
@@ -153,19 +166,21 @@ EVALUATORS = {
 def _silent(samples, rules, labels, as_of, metric, ts, expected) -> DataFrame:
     """Absent or stale series. Silence is true from ``last sample + threshold``
     on, so the hold follows from the last sample alone."""
-    found = _tagged(samples.filter(F.col(ts) <= as_of), rules, metric)
+    found = _by_rule(samples, rules, metric)
     last = found.groupBy("rule", *labels).agg(F.max(ts).alias("_last"))
     if expected is None:
-        spark = samples.sparkSession
-        expected = spark.createDataFrame(
+        waiting = samples.sparkSession.createDataFrame(
             [(r.name, *[r.pattern if n == r.label else "" for n in labels]) for r in rules],
             ", ".join(f"`{n}` string" for n in ("rule", *labels)),
         )
-        seen = last.select("rule").distinct()  # at most one row per rule
-        never = expected.join(F.broadcast(seen), "rule", "left_anti")
+        seen = found.select("rule").distinct()  # at most one row per rule
+        waiting = waiting.join(F.broadcast(seen), "rule", "left_anti")
     else:
-        never = expected.join(last, ["rule", *labels], "left_anti")
-    known = last.unionByName(never.withColumn("_last", F.lit(None)), allowMissingColumns=True)
+        waiting = expected.select("rule", *labels)
+    known = (
+        last.unionByName(waiting.withColumn("_last", F.lit(None)))
+        .groupBy("rule", *labels).agg(F.max("_last").alias("_last"))
+    )
     limit = _per_rule(rules, lambda r: seconds(r.threshold))
     held = _per_rule(rules, lambda r: seconds(r.hold_s))
     due = F.col("_last") + limit
@@ -207,16 +222,15 @@ def evaluate_rules(
             for build, chosen in by_evaluator.items()
         ])
         timed = [rule for rule in rules if rule.kind != "absent"]
-        held = alert_hold(
+        state = alert_state(
             conditions, ["rule", *labels], F.col("condition"),
-            _per_rule(timed, lambda r: F.lit(float(r.hold_s))), ts, staleness_s, slice_s,
+            _per_rule(timed, lambda r: F.lit(float(r.hold_s))), as_of, ts, "value",
+            staleness_s, slice_s,
         )
-        states.append(latest_state(held, ["rule", *labels], as_of, ts, staleness_s).select(
-            "rule", *labels, "value", "active_since", "state"
-        ))
         counting = [r for r in timed if r.kind == "count" and COMPARE[r.op](0.0, r.threshold)]
         if counting:
-            states[0] = _with_zero_counts(states[0], counting, labels)
+            state = _with_zero_counts(state, counting, labels, ts)
+        states.append(state.drop(ts))
     silent = [rule for rule in rules if rule.kind == "absent"]
     if silent:
         states.append(_silent(history, silent, labels, as_of, metric, ts, expected))
@@ -226,17 +240,15 @@ def evaluate_rules(
     )
 
 
-def _with_zero_counts(states: DataFrame, rules: Sequence[Rule], labels) -> DataFrame:
+def _with_zero_counts(state: DataFrame, rules: Sequence[Rule], labels, ts: str) -> DataFrame:
     """A count rule that matched no sample at all counts zero, and fires."""
-    names = states.sparkSession.createDataFrame([(r.name,) for r in rules], "rule string")
-    seen = states.select("rule").distinct().filter(F.col("rule").isin(*[r.name for r in rules]))
-    missing = names.join(F.broadcast(seen), "rule", "left_anti")  # at most one row per rule
-    return states.unionByName(
-        missing.select(
-            "rule", *[F.lit("").alias(n) for n in labels], F.lit(0.0).alias("value"),
-            F.lit("firing").alias("state"),
-        ),
-        allowMissingColumns=True,
+    zero = state.sparkSession.createDataFrame([(r.name,) for r in rules], "rule string").select(
+        "rule", *[F.lit("").alias(n) for n in labels], F.lit(0.0).alias("value"),
+        F.lit("firing").alias("state"),
+    )
+    # the zero row has no time, so any row the rule really has comes first
+    return latest_per_key(
+        state.unionByName(zero, allowMissingColumns=True), ["rule", *labels], [ts]
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import geo_struct
 from ..schemas import SALE_DOCUMENT
+from ..session import stage
 from .enrich import split_on_null
 
 
@@ -75,6 +76,16 @@ def write_documents(
     }).save()
 
 
-def write_split_documents(df: DataFrame, path: str, field: str = "location", **how) -> None:
-    """Index rows with and without ``field`` into one collection."""
-    write_documents(union_documents(*split_on_null(df, field)), path, **how)
+def write_split_documents(
+    df: DataFrame, path: str, field: str = "location", format: str = "json", **how
+) -> None:
+    """Index rows with and without ``field`` into one collection.
+
+    JSON files leave NULL fields out, so one pass writes both halves. A
+    connector gets two appends, read from a staged copy computed once.
+    """
+    if format == "json":
+        write_documents(df, path, format=format, **how)
+        return
+    for half in split_on_null(stage(df, "documents"), field):
+        write_documents(half, path, mode="append", format=format, **how)

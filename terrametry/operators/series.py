@@ -171,75 +171,106 @@ def absent(
     return expected.join(samples.select(*labels).distinct(), list(labels), "left_anti")
 
 
-def alert_hold(
-    samples: DataFrame, series: Sequence[str], condition: Column, hold: Column | float,
-    ts: str = "ts", staleness_s: float = 300, slice_s: int = 21_600,
+def _runs(
+    samples: DataFrame, series: Sequence[str], condition: Column, ts: str,
+    staleness_s: float, slice_s: int,
 ) -> DataFrame:
-    """Each sample with ``active_since`` and ``state``.
-
-    A series is ``pending`` while its condition stays true and ``firing`` once
-    it has been true for ``hold`` seconds. A false or NULL condition ends the
-    run, and so does a gap between samples longer than ``staleness_s``.
+    """Samples with ``_on`` and, per slice, the start ``_begin`` of their run.
 
-    Runs are found inside each time slice, then linked across slices through
-    one summary row per series and slice.
+    ``_begin`` is NULL while a run may have come from an earlier slice.
     """
-    hold = hold if isinstance(hold, Column) else F.lit(float(hold))
-    gap = seconds(staleness_s)
     in_slice = Window.partitionBy(*series, "_slice").orderBy(ts)
-    so_far = in_slice.rowsBetween(Window.unboundedPreceding, 0)
     previous = F.lag(ts).over(in_slice)
-    previous_on = F.lag("_on").over(in_slice)
-    begins = F.col("_on") & previous.isNotNull() & (~previous_on | (F.col(ts) - previous > gap))
-    marked = (
-        time_slices(samples.withColumn("_on", F.coalesce(condition, F.lit(False))), ts, slice_s)
-        .drop("_own")
-        .withColumn("_begin", F.when(begins, F.col(ts)))
-        .withColumn("_begin", F.last("_begin", ignorenulls=True).over(so_far))
+    broken = ~F.lag("_on").over(in_slice) | (F.col(ts) - previous > seconds(staleness_s))
+    begins = F.when(F.col("_on") & previous.isNotNull() & broken, F.col(ts))
+    sliced = time_slices(
+        samples.withColumn("_on", F.coalesce(condition, F.lit(False))), ts, slice_s
+    ).drop("_own")
+    return sliced.withColumn("_begin", begins).withColumn(
+        "_begin",
+        F.last("_begin", ignorenulls=True).over(in_slice.rowsBetween(Window.unboundedPreceding, 0)),
     )
 
-    edges = marked.groupBy(*series, "_slice").agg(
+
+def _linked_slices(
+    runs: DataFrame, series: Sequence[str], ts: str, staleness_s: float,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """One row per series and slice: where the run entering it (``_entry``) and
+    the run leaving it (``_exit``) began. ``keep`` columns are those of the
+    last sample."""
+    edges = runs.groupBy(*series, "_slice").agg(
         F.min(ts).alias("_in"), F.min_by("_on", ts).alias("_in_on"),
         F.max(ts).alias("_out"), F.max_by("_on", ts).alias("_out_on"),
         F.max("_begin").alias("_out_begin"),
+        *[F.max_by(c, ts).alias(c) for c in keep],
     )
     by_slice = Window.partitionBy(*series).orderBy("_slice")
     linked = F.coalesce(
         F.col("_in_on") & F.lag("_out_on").over(by_slice)
-        & (F.col("_in") - F.lag("_out").over(by_slice) <= gap),
+        & (F.col("_in") - F.lag("_out").over(by_slice) <= seconds(staleness_s)),
         F.lit(False),
     )
     # a slice either settles where its last run began, or passes the run through
     settled = F.coalesce(F.col("_out_begin"), F.when(~F.col("_linked"), F.col("_in")))
-    carried = (
+    return (
         edges.withColumn("_linked", linked)
         .withColumn("_exit", F.last(settled, ignorenulls=True).over(
             by_slice.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_entry", F.when(F.col("_linked"), F.lag("_exit").over(by_slice))
                     .otherwise(F.col("_in")))
-        .select(*series, "_slice", "_entry")
     )
-    joined = marked.join(carried, [*series, "_slice"], "left")
-    active_since = F.when(F.col("_on"), F.coalesce("_begin", "_entry"))
+
+
+def _state(on: Column, ts: str, hold: Column | float) -> Column:
+    hold = hold if isinstance(hold, Column) else F.lit(float(hold))
     held = F.make_dt_interval(secs=hold.cast("decimal(18,6)"))
-    state = F.when(~F.col("_on"), "inactive").when(
+    return F.when(~on, "inactive").when(
         F.col(ts) - F.col("active_since") >= held, "firing"
     ).otherwise("pending")
+
+
+def alert_hold(
+    samples: DataFrame, series: Sequence[str], condition: Column, hold: Column | float,
+    ts: str = "ts", staleness_s: float = 300, slice_s: int = 21_600,
+) -> DataFrame:
+    """Each sample with ``active_since`` and ``state``.
+
+    A series is ``pending`` while its condition stays true and ``firing`` once
+    it has been true for ``hold`` seconds. A false or NULL condition ends the
+    run, and so does a gap between samples longer than ``staleness_s``.
+
+    Runs are found inside each time slice, then linked across slices through
+    one summary row per series and slice.
+    """
+    runs = _runs(samples, series, condition, ts, staleness_s, slice_s)
+    entries = _linked_slices(runs, series, ts, staleness_s).select(*series, "_slice", "_entry")
+    joined = runs.join(entries, [*series, "_slice"], "left")
+    since = F.when(F.col("_on"), F.coalesce("_begin", "_entry"))
     return (
-        joined.withColumn("active_since", active_since).withColumn("state", state)
+        joined.withColumn("active_since", since)
+        .withColumn("state", _state(F.col("_on"), ts, hold))
         .drop("_slice", "_on", "_begin", "_entry")
     )
 
 
-def latest_state(
-    held: DataFrame, series: Sequence[str], as_of: datetime | Column, ts: str = "ts",
-    staleness_s: float = 300,
+def alert_state(
+    samples: DataFrame, series: Sequence[str], condition: Column, hold: Column | float,
+    as_of: datetime | Column, ts: str = "ts", value: str = "value",
+    staleness_s: float = 300, slice_s: int = 21_600,
 ) -> DataFrame:
-    """State of each series at ``as_of``; a series gone quiet is inactive."""
+    """State of each series at ``as_of``; a series gone quiet is inactive.
+
+    As the last row of :func:`alert_hold`, but from the slice summaries alone:
+    samples are read once and never joined back.
+    """
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    newest = latest_per_key(held.filter(F.col(ts) <= now), series, [ts])
-    quiet = F.col(ts) < now - seconds(staleness_s)
-    return newest.withColumns({
-        "state": F.when(quiet, "inactive").otherwise(F.col("state")),
-        "active_since": F.when(~quiet, F.col("active_since")),
-    })
+    runs = _runs(samples.filter(F.col(ts) <= now), series, condition, ts, staleness_s, slice_s)
+    linked = _linked_slices(runs, series, ts, staleness_s, [value])
+    last = latest_per_key(linked, series, ["_slice"])
+    live = F.col("_out") >= now - seconds(staleness_s)
+    return (
+        last.withColumn("active_since", F.when(live & F.col("_out_on"), F.col("_exit")))
+        .withColumn("state", _state(live & F.col("_out_on"), "_out", hold))
+        .select(*series, F.col("_out").alias(ts), value, "active_since", "state")
+    )

@@ -153,7 +153,7 @@ def typed_transactions(spark, sf_dir):
 
 @query(f"WITH {SALES} SELECT * EXCLUDE (date_mutation), date_mutation::varchar AS date_mutation FROM sales")
 def clean_sales(spark, sf_dir):
-    cleaned = roles.sales(spark, sf_dir)
+    cleaned = roles.cleaned_raw_sales(spark, sf_dir)
     return cleaned.withColumn("date_mutation", F.col("date_mutation").cast("string"))
 
 

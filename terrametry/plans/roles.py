@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.clean import SaleRules, clean_transactions, project
-from ..functions import number_from_text
+from ..functions import compose_code, number_from_text
+from ..operators.clean import SaleRules, clean_transactions, keep_valid_sales, project
 
 RULES = SaleRules(kinds=("A", "R"), natures=("F", "O"))
 
@@ -61,10 +61,33 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cleaned_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by way of their text form, as from the delimited input."""
     return clean_transactions(raw_sales(spark, sf_dir), RULES, exact=True)
 
 
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sales from the typed columns: no text to render and parse, and
+    the value bounds reach the scan."""
+    typed = project(sale_lines(spark, sf_dir), {
+        "id_disposition": F.concat_ws("-", "l_orderkey", "l_linenumber"),
+        "nature_mutation": "o_orderstatus",
+        "date_mutation": F.to_date("o_orderdate"),
+        "annee": F.year("o_orderdate"),
+        "mois": F.month("o_orderdate"),
+        "valeur_fonciere": "l_extendedprice",
+        "code_departement": department(),
+        "code_commune": compose_code(department(), commune_part("o_custkey"), "fixed"),
+        "nom_commune": "c_name",
+        "code_postal": "o_orderpriority",
+        "type_local": "l_returnflag",
+        "surface_bati": "l_quantity",
+        "nb_pieces": "l_linenumber",
+        "surface_terrain": "l_discount",
+    })
+    return keep_valid_sales(typed, RULES, exact=True)
+
+
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas with coordinates; one area code may occur several times."""
     return project(table(spark, sf_dir, "customer"), {
