@@ -10,6 +10,8 @@ from ..schemas import SALE_DOCUMENT
 from ..session import stage
 from .enrich import split_on_null
 
+FILE_FORMATS = ("json", "parquet", "orc")
+
 
 def _conformed(df: DataFrame, field) -> Column:
     if field.name not in df.columns:
@@ -65,8 +67,8 @@ def write_documents(
     connector as its bulk limits.
     """
     writer = df.write.format(format).mode(mode)
-    if format == "json":
-        writer.options(ignoreNullFields=True, **options).save(path)
+    if format in FILE_FORMATS:
+        writer.options(**{"ignoreNullFields": "true", **options}).save(path)
         return
     writer.options(**{
         f"{format}.resource": path,

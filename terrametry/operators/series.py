@@ -52,10 +52,6 @@ def time_slices(df: DataFrame, ts: str, width_s: int, reach_s: int = 0) -> DataF
     )
 
 
-def _quoted(*names: str) -> str:
-    return ", ".join(f"`{name}`" for name in names)
-
-
 def counter_increase(
     samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value",
     range_s: int = 3600, slice_s: int | None = None,
@@ -73,20 +69,30 @@ def counter_increase(
     step = F.when(before.isNull(), F.col(value) - F.col(value)).when(
         F.col(value) < before, F.col(value)
     ).otherwise(F.col(value) - before)
-    window = (
-        f"OVER (PARTITION BY {_quoted(*series, '_slice')} ORDER BY `{ts}` "
-        f"RANGE BETWEEN INTERVAL '{range_s}' SECOND PRECEDING AND CURRENT ROW)"
-    )
-    grown = (
+    running = (
         time_slices(samples, ts, width, range_s)
         .withColumn("_step", step)
         .withColumn("_run", F.sum("_step").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_base", F.expr(f"min(`_run`) {window}"))
-        .withColumn("_first", F.expr(f"min(`{ts}`) {window}"))
+    )
+    # each sample also looks from the start of its window for the sample next to
+    # it: one more sort in the slice, however many samples a window holds
+    sample = F.struct(F.col(ts).alias("at"), F.lit(0).alias("probe"))
+    probe = F.struct((F.col(ts) - seconds(range_s)).alias("at"), F.lit(1).alias("probe"))
+    backwards = (
+        Window.partitionBy(*series, "_slice").orderBy(F.desc("_p.at"), "_p.probe")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    is_sample = F.col("_p.probe") == 0
+    based = (
+        running.withColumn("_p", F.explode(
+            F.when(F.col("_own"), F.array(sample, probe)).otherwise(F.array(sample))))
+        .withColumn("_base", F.last(F.when(is_sample, F.col("_run")), True).over(backwards))
+        .withColumn("_first", F.last(F.when(is_sample, F.col(ts)), True).over(backwards))
+        .filter(~is_sample)
     )
     increase = F.when(F.col("_first") < F.col(ts), F.col("_run") - F.col("_base"))
-    return grown.filter("_own").withColumn("increase", increase.cast("double")).drop(
-        "_slice", "_own", "_step", "_run", "_base", "_first"
+    return based.withColumn("increase", increase.cast("double")).drop(
+        "_slice", "_own", "_step", "_run", "_p", "_base", "_first"
     )
 
 
@@ -153,8 +159,16 @@ def vector_and(left: DataFrame, right: DataFrame, labels: Sequence[str]) -> Data
 
 
 def vector_or(left: DataFrame, right: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Left samples, and those right samples whose labels are not on the left."""
-    return left.unionByName(right.join(left.select(*labels), list(labels), "left_anti"))
+    """Left samples, and those right samples whose labels are not on the left.
+
+    Labels are unique on each side, so both sides fold by label in one shuffle
+    and neither is computed twice.
+    """
+    sides = left.withColumn("_left", F.lit(1)).unionByName(right.withColumn("_left", F.lit(0)))
+    rest = [c for c in left.columns if c not in labels]
+    return sides.groupBy(*labels).agg(
+        *[F.max_by(c, "_left").alias(c) for c in rest]
+    ).select(*left.columns)
 
 
 def absent(

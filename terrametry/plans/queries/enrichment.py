@@ -11,6 +11,7 @@ from ...operators.enrich import (
 from ...operators.profiles import active_profile, creations_by_year, employer_profile
 from ...operators.reports import mean
 from .. import roles
+from ..territory import enrich_sales
 from . import Registry
 from .sqltext import (
     AREAS, ESTABLISHMENTS, LABELLED, SALES, active as active_sql, creations, exact_mean, rounded,
@@ -101,15 +102,11 @@ enriched AS (
 
 
 def enriched(spark, sf_dir):
-    joined = enrich_left(
-        roles.sales(spark, sf_dir), [(roles.geography(spark, sf_dir), ["code_commune"])],
-        dedupe=True,
+    return enrich_sales(
+        roles.sales(spark, sf_dir), roles.geography(spark, sf_dir),
+        _profile(spark, sf_dir, "code_commune"), _creations(spark, sf_dir, "code_commune"),
+        dedupe_geography=True, exact=True,
     )
-    joined = enrich_left(joined, [
-        (_profile(spark, sf_dir, "code_commune"), ["code_commune"]),
-        (_creations(spark, sf_dir, "code_commune"), ["code_commune", "annee"]),
-    ])
-    return with_creation_rate(joined, exact=True)
 
 
 @query(f"""WITH {SALES}, {AREAS}, {ONE_AREA}, {ESTABLISHMENTS}, {ENRICHED_SQL}

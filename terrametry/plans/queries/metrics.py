@@ -75,10 +75,10 @@ def hourly_gauges(spark, sf_dir):
 
 @query("""
 SELECT event_type AS metric, user_id::varchar AS instance, count(*) AS n FROM events
-WHERE regexp_full_match(user_id::varchar, '1.*5') AND event_type <> '' GROUP BY ALL""")
+WHERE regexp_full_match(user_id::varchar, '1.*|.*5') AND event_type <> '' GROUP BY ALL""")
 def label_regex(spark, sf_dir):
     chosen = roles.samples(spark, sf_dir).filter(
-        matches_label("instance", "1.*5") & (F.col("metric") != "")
+        matches_label("instance", "1.*|.*5") & (F.col("metric") != "")
     )
     return chosen.groupBy("metric", "instance").agg(F.count(F.lit(1)).alias("n"))
 

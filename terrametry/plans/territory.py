@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import (
     SaleRules, clean_establishments, clean_geography, clean_transactions,
 )
 from ..operators.documents import sale_documents, write_split_documents
-from ..operators.enrich import enrich_left, label_sales, with_creation_rate
+from ..operators.enrich import (
+    enrich_left, label_sales, one_row_per_key, quality_totals, with_creation_rate,
+)
 from ..operators.profiles import active_profile, creations_by_year
 from ..operators.reports import global_summary
 from ..operators.warehouse import (
@@ -33,16 +35,22 @@ class TerritoryPaths:
 
 
 def enrich_sales(
-    sales: DataFrame, geography: DataFrame, establishments: DataFrame,
+    sales: DataFrame, geography: DataFrame, profile: DataFrame, creations: DataFrame,
     dedupe_geography: bool = False, exact: bool = False,
 ) -> DataFrame:
-    """Clean sales with geography, active profile and creations of their year."""
-    joined = enrich_left(sales, [(geography, ["code_commune"])], dedupe=dedupe_geography)
-    joined = enrich_left(joined, [
-        (active_profile(establishments), ["code_commune"]),
-        (creations_by_year(establishments), ["code_commune", "annee"]),
-    ])
-    return with_creation_rate(joined, exact)
+    """Clean sales with geography, active profile and creations of their year.
+
+    The dimensions are computed once into staged tables. Their true sizes are
+    then known when the joins are planned: small ones are broadcast and the
+    sales are not shuffled for them at all; larger ones are joined by shuffle.
+    """
+    if dedupe_geography:
+        geography = one_row_per_key(geography, ["code_commune"])
+    return with_creation_rate(enrich_left(sales, [
+        (stage(geography, "geography"), ["code_commune"]),
+        (stage(profile, "profile"), ["code_commune"]),
+        (stage(creations, "creations"), ["code_commune", "annee"]),
+    ]), exact)
 
 
 def build_warehouse(
@@ -66,11 +74,9 @@ def build_warehouse(
         ),
         ["siret", "code_commune", "section_naf", "etat", "annee_creation"],
     )
-    enriched = with_creation_rate(enrich_left(sales, [
-        (stage(geography, "geography"), ["code_commune"]),
-        (stage(active_profile(establishments), "active"), ["code_commune"]),
-        (stage(creations_by_year(establishments), "creations"), ["code_commune", "annee"]),
-    ]))
+    enriched = enrich_sales(
+        sales, geography, active_profile(establishments), creations_by_year(establishments)
+    )
     written = write_partitioned(enriched.select(*ENRICHED.names), paths.warehouse, PARTITION_KEYS)
     audit = verify_write(spark, paths.warehouse, written.get["rows"], ENRICHED)
     if not audit.first()["complete"]:
@@ -91,9 +97,4 @@ def build_labelled(spark: SparkSession, source: str, target: str) -> DataFrame:
     """
     labelled = label_sales(read_parquet(spark, source, ENRICHED))
     write_partitioned(labelled.select(*ENRICHED_V2.names), target, PARTITION_KEYS)
-    flags = read_parquet(spark, target, ENRICHED_V2)
-    return flags.agg(
-        F.count(F.lit(1)).alias("n_total"),
-        F.count_if(F.col("qualite_donnee") == "OK").alias("n_ok"),
-        F.count_if(F.col("qualite_donnee") == "SUSPECTE").alias("n_suspect"),
-    )
+    return quality_totals(read_parquet(spark, target, ENRICHED_V2))
