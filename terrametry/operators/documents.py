@@ -78,6 +78,15 @@ def write_documents(
     }).save()
 
 
+def replace_collection(
+    df: DataFrame, path: str, mapping: StructType, format: str = "json", **how
+) -> DataFrame:
+    """Drop and recreate a collection under its mapping; returns what was mapped,
+    missing or lost, as :func:`conformance` does."""
+    write_documents(conform(df, mapping), path, mode="overwrite", format=format, **how)
+    return conformance(df, mapping)
+
+
 def write_split_documents(
     df: DataFrame, path: str, field: str = "location", format: str = "json", **how
 ) -> None:

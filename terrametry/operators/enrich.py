@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import band, guarded_rate, quality_flag, zone
+from ..session import stage
 
 # fixed values: price bands and zones of the reference
 PRICE_BANDS = ((1500, "bas"), (3500, "moyen"), (7000, "eleve"))
@@ -75,8 +76,10 @@ def salted_left(
     one group. The result equals the plain left join.
     """
     keys = list(keys)
-    # at most 1/share rows by construction, hence safe to broadcast
-    frequent = F.broadcast(frequent_keys(facts, keys, share).withColumn("_hot", F.lit(True)))
+    # at most 1/share rows by construction, hence safe to broadcast; staged so
+    # that the keys are counted once for both sides
+    frequent = stage(frequent_keys(facts, keys, share), "frequent-keys")
+    frequent = F.broadcast(frequent.withColumn("_hot", F.lit(True)))
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()

@@ -74,8 +74,9 @@ def _zero_filled(counts: DataFrame, step: timedelta, by: Sequence[str]) -> DataF
         .withColumn("_end", F.least(F.col("_high"), F.col("_day") + coarse - width))
         .select(*by, F.explode(F.sequence("_day", "_end", width)).alias("bucket"))
     )
-    return spine.join(counts, [*by, "bucket"], "left").select(
-        "bucket", *by, *[F.coalesce(m, F.lit(0)).alias(m) for m in measures]
+    zeros = spine.select("bucket", *by, *[F.lit(0).alias(m) for m in measures])
+    return counts.unionByName(zeros).groupBy("bucket", *by).agg(
+        *[F.sum(m).alias(m) for m in measures]
     )
 
 
@@ -118,7 +119,9 @@ def top_term_histogram(
         counts.groupBy(term).agg(F.sum("n").alias("_total"))
         .orderBy(F.desc("_total"), term).limit(k).select(term)
     )
-    kept = counts.join(F.broadcast(top), term, "left_semi")  # at most k rows
+    # top has at most k rows; an inner join, since a semi join would be pushed
+    # below the counts and make them differ from those that ranked the terms
+    kept = counts.join(F.broadcast(top), term)
     return _zero_filled(kept, step, [term]) if zero_fill else kept.select("bucket", term, "n")
 
 

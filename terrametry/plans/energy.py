@@ -1,17 +1,23 @@
-"""The stream job: messages to a keyed document table."""
+"""The stream jobs: records to messages, messages to a keyed document table."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import ENERGY_DOCUMENT
+from ..schemas import ENERGY_DOCUMENT, ENERGY_FIELDS, ENERGY_MEASURES
 from ..streaming.jobs import run_batches
-from ..streaming.messages import parse_messages, route
+from ..streaming.messages import clean_messages, parse_messages, publish, route, to_messages
 from ..streaming.upsert import upsert_sink
 
+# fixed values: the first poll's reach, and that of each later poll; polls come
+# every 15 minutes, so consecutive ones overlap by five
+BOOTSTRAP = timedelta(hours=24)
+LOOKBACK = timedelta(minutes=20)
+
 ENERGY_TABLE = T.StructType([
     T.StructField("doc_id", T.StringType()),
     *ENERGY_DOCUMENT.fields,
@@ -20,6 +26,29 @@ ENERGY_TABLE = T.StructType([
 ])
 
 
+def publish_records(
+    records: DataFrame, location: str, format: str = "json",
+    fields: Sequence[str] = ENERGY_FIELDS, measures: Sequence[str] = ENERGY_MEASURES,
+    required: str = "consommation", offset: str | None = None, **options: str,
+) -> Observation:
+    """Clean and send records whose required measure is present.
+
+    Records come as text columns; a field they lack is sent as NULL. Returns
+    ``n_received`` and ``n_ignored``, observed on the one pass that sends.
+    """
+    counts = Observation()
+    missing = {name: F.lit(None).cast("string") for name in fields if name not in records.columns}
+    seen = records.withColumns(missing).observe(
+        counts, F.count(F.lit(1)).alias("n_received"),
+        F.count_if(F.col(required).isNull()).alias("n_ignored"),
+    )
+    kept = clean_messages(seen.filter(F.col(required).isNotNull()), measures, ts=None)
+    publish(
+        to_messages(kept, [*fields, "ingestion_timestamp"], offset=offset), location, format, **options
+    )
+    return counts
+
+
 def ingest_energy(
     messages: DataFrame, table: str, dead_letters: str, checkpoint: str,
     every: timedelta | None = None,

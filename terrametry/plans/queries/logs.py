@@ -2,14 +2,15 @@
 
 from datetime import timedelta
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ...operators.logs import (
     cardinality, date_histogram, document_total, drop_blank, last_bucket, recent, reduce_series,
     since, top_term_histogram, top_terms, total_vs_errors,
 )
+from ...schemas import STRING, struct
 from ...session import scratch_path
-from ...sources import table_stream
+from ...sources import read_daily_logs, table_stream
 from ...streaming.jobs import daily_logs
 from .. import roles
 from . import Registry
@@ -125,15 +126,33 @@ def histogram_reducers(spark, sf_dir):
     return reduce_series(daily, by=["level"])
 
 
+DAILY = struct(event_type=STRING, day=T.DateType())
+
+
+def _stored_daily(spark, sf_dir):
+    out, checkpoint = scratch_path(spark, "daily"), scratch_path(spark, "daily-progress")
+    stream = table_stream(spark, sf_dir, roles.events(spark, sf_dir).schema, "events.parquet")
+    daily_logs(stream, out, checkpoint, ts="ts", message="props").awaitTermination()
+    return out
+
+
 @query("""
 SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS level, count(*) AS n FROM events
 WHERE NOT regexp_full_match(props, '\\s*') GROUP BY ALL""")
 def daily_log_partitions(spark, sf_dir):
     """Events streamed into one folder per day."""
-    out, checkpoint = scratch_path(spark, "daily"), scratch_path(spark, "daily-progress")
-    stream = table_stream(spark, sf_dir, roles.events(spark, sf_dir).schema, "events.parquet")
-    daily_logs(stream, out, checkpoint, ts="ts", message="props").awaitTermination()
-    stored = spark.read.schema("event_type string, day date").parquet(out)
+    stored = read_daily_logs(spark, _stored_daily(spark, sf_dir), DAILY)
     return stored.groupBy(F.col("day").cast("string").alias("day"), F.col("event_type").alias("level")).agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+@query("""
+SELECT event_type AS level, count(*) AS n FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13' GROUP BY 1""")
+def daily_log_range(spark, sf_dir):
+    """Three days of the stored logs; only their folders are read."""
+    days = read_daily_logs(
+        spark, _stored_daily(spark, sf_dir), DAILY, "2024-01-10", "2024-01-12"
+    )
+    return days.groupBy(F.col("event_type").alias("level")).agg(F.count(F.lit(1)).alias("n"))

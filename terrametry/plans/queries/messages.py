@@ -15,6 +15,7 @@ from ...streaming.messages import (
 )
 from ...streaming.upsert import upsert_sink
 from .. import roles
+from ..energy import publish_records
 from . import Registry
 
 registry = Registry()
@@ -178,3 +179,21 @@ SELECT count(*) AS n_received,
 FROM messages""")
 def ingest_tallies(spark, sf_dir):
     return tallies(_parsed(spark, sf_dir))
+
+
+@query(f"""WITH {MESSAGES_SQL}
+SELECT 'received' AS tally, count(*) AS n FROM messages
+UNION ALL SELECT 'ignored', count(*) FILTER (consommation IS NULL) FROM messages
+UNION ALL SELECT 'sent', count(*) FILTER (consommation IS NOT NULL) FROM messages""", name="publish_records")
+def published(spark, sf_dir):
+    """Records sent to a folder, counted in passing; the folder holds the rest."""
+    topic = scratch_path(spark, "published")
+    counts = publish_records(
+        raw_messages(spark, sf_dir), topic, fields=FIELDS, measures=MEASURES, offset="event_id"
+    ).get
+    sent = spark.read.schema("key string, value string").json(topic)
+    return sent.agg(F.array(
+        F.struct(F.lit("received").alias("tally"), F.lit(counts["n_received"]).cast("bigint").alias("n")),
+        F.struct(F.lit("ignored").alias("tally"), F.lit(counts["n_ignored"]).cast("bigint").alias("n")),
+        F.struct(F.lit("sent").alias("tally"), F.count("value").alias("n")),
+    ).alias("t")).select(F.inline("t"))

@@ -1,7 +1,7 @@
 """Scans: delimited text, Parquet, catalog tables, documents, local rows, streams."""
 
 from .batch import (
-    local_rows, preview, profile_schema, read_delimited, read_documents,
+    local_rows, preview, profile_schema, read_daily_logs, read_delimited, read_documents,
     read_parquet, read_table, stage_delimited,
 )
 from .streams import (
@@ -10,6 +10,6 @@ from .streams import (
 
 __all__ = [
     "local_rows", "log_json_stream", "log_line_stream", "message_stream",
-    "observation_pull", "preview", "profile_schema", "read_delimited",
+    "observation_pull", "preview", "profile_schema", "read_daily_logs", "read_delimited",
     "read_documents", "read_parquet", "read_table", "stage_delimited", "table_stream",
 ]

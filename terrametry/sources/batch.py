@@ -68,6 +68,20 @@ def read_documents(
     return spark.read.format(format).schema(schema).options(**options).load(path)
 
 
+def read_daily_logs(
+    spark: SparkSession, path: str, schema: StructType, first: str | None = None,
+    last: str | None = None,
+) -> DataFrame:
+    """Logs stored by ``day``, of the days ``first..last`` only (ISO dates). The
+    bounds prune partitions: other days are not read."""
+    logs = spark.read.schema(schema).parquet(path)
+    if first:
+        logs = logs.filter(F.col("day") >= F.lit(first).cast("date"))
+    if last:
+        logs = logs.filter(F.col("day") <= F.lit(last).cast("date"))
+    return logs
+
+
 def local_rows(spark: SparkSession, rows: Iterable, schema: StructType) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 

@@ -38,6 +38,13 @@ def test_histogram_counts_empty_buckets(logs):
     assert date_histogram(logs.filter("1 = 0"), "ts", timedelta(minutes=1)).count() == 0
 
 
+def test_histogram_by_a_field_that_may_be_missing(logs):
+    got = date_histogram(logs, "ts", timedelta(minutes=1), ["level"]).collect()
+    assert {(r.bucket, r.level): r.n for r in got if r.level in (None, "info")} == {
+        (at(0), "info"): 1, (at(1), "info"): 0, (at(2), "info"): 0, (at(3), "info"): 0,
+        (at(4), "info"): 1, (at(4), None): 1}
+
+
 @pytest.mark.parametrize("step", [timedelta(minutes=7), timedelta(hours=5), timedelta(days=2)])
 def test_histogram_spine_has_no_gap_over_days(spark, step):
     df = spark.createDataFrame([(START,), (START + timedelta(days=9, hours=3),)], "ts timestamp")

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrametry.operators.documents import (
-    conform, conformance, sale_documents, write_documents, write_split_documents,
+    conform, conformance, replace_collection, sale_documents, write_documents,
+    write_split_documents,
 )
 from terrametry.schemas import (
     DOUBLE, ENERGY_DOCUMENT, ENRICHED, INT, LONG, SALE_DOCUMENT, STRING, TableSpec, all_strings,
@@ -71,6 +72,15 @@ def test_conform(spark, rows):
         ("n", "mapped", 1), ("v", "mapped", 0)]
 
 
+def test_replace_collection(spark, tmp_path, rows):
+    path, mapping = str(tmp_path / "docs"), struct(id=LONG, n=INT)
+    df = spark.createDataFrame([("1", "x"), ("2", "7")], "id string, n string")
+    for _ in range(2):  # a second run replaces the first
+        report = replace_collection(df, path, mapping)
+    assert rows(report) == [("id", "mapped", 0), ("n", "mapped", 1)]
+    assert rows(read_documents(spark, path, mapping)) == [(1, None), (2, 7)]
+
+
 def test_document_modes(spark, tmp_path, rows):
     path = str(tmp_path / "docs")
     schema = struct(id=INT, location=STRING)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from terrametry.operators.latest import latest_per_key
-from terrametry.plans.energy import ENERGY_TABLE, ingest_energy
+from terrametry.plans.energy import ENERGY_TABLE, ingest_energy, publish_records
 from terrametry.schemas import ENERGY_FIELDS, LOG_EVENT
 from terrametry.sources import log_json_stream, log_line_stream, message_stream
 from terrametry.streaming.jobs import append_files, daily_logs
@@ -66,6 +66,19 @@ def test_messages_round_trip(spark):
     assert "Île" in sent.value
 
 
+def test_publish_counts_and_cleans(spark, tmp_path, rows):
+    records = spark.createDataFrame(
+        [("2024-01-01T10:00:00", "Corse", "10", "x"), ("2024-01-01T10:15:00", "Corse", None, "1")],
+        "date_heure string, libelle_region string, consommation string, eolien string")
+    counts = publish_records(records, str(tmp_path / "topic")).get
+    assert counts == {"n_received": 2, "n_ignored": 1}
+    sent = spark.read.json(str(tmp_path / "topic")).first()
+    value = json.loads(sent.value)
+    assert sent.key == "Corse_2024-01-01T10:00:00"
+    assert value["consommation"] == 10.0 and value["eolien"] is None and value["taux_co2"] is None
+    assert set(value) == {*ENERGY_FIELDS, "ingestion_timestamp"}
+
+
 def batch(spark, *rows):
     return spark.createDataFrame(list(rows), TABLE)
 
