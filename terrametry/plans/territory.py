@@ -30,8 +30,8 @@ class TerritoryPaths:
     establishments: str
     warehouse: str
     documents: str | None = None
-    database: str = "dvf"
-    table: str = "mutations_enrichies"
+    database: str = "territory"
+    table: str = "enriched_sales"
 
 
 def enrich_sales(

@@ -11,22 +11,26 @@ from ..operators.latest import latest_per_key
 from ..session import discard, path_exists
 
 
+def _partition_tag(partitions: Sequence[str]) -> Column:
+    """Partition values as one text, NULLs included."""
+    return F.concat_ws("/", *[
+        F.coalesce(F.concat(F.lit("="), F.col(p).cast("string")), F.lit("")) for p in partitions
+    ])
+
+
 def merge_latest(
-    current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
-    order: Sequence[str | Column], partitions: Sequence[str],
+    current: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+    partitions: Sequence[str],
 ) -> DataFrame:
-    """Latest row per key over the batch and the partitions it touches.
+    """Latest row per key over ``batch`` and the partitions it touches.
 
-    Touched partitions are found by a semi join on the partition columns, which
-    the planner turns into partition pruning of the current table.
+    The values of the touched partitions come to the driver (never more of them
+    than the table has partition folders) and prune the read of ``current``.
     """
-    newest = latest_per_key(batch, keys, order)
-    if current is None:
-        return newest
-    touched = batch.select(*partitions).distinct()
-    return latest_per_key(
-        current.join(touched, list(partitions), "left_semi").unionByName(newest), keys, order
-    )
+    tag = _partition_tag(partitions)
+    touched = [row[0] for row in batch.select(tag).distinct().collect()]
+    kept = current.filter(tag.isin(touched))
+    return latest_per_key(kept.unionByName(batch), keys, order)
 
 
 def upsert_sink(
@@ -49,13 +53,13 @@ def upsert_sink(
         spark = batch.sparkSession
         staged = f"{staging}/batch={batch_id}"
         if not path_exists(spark, f"{staged}/_SUCCESS"):
-            current = None
+            newest = latest_per_key(batch.select(*schema.names), keys, order).persist()
+            merged = newest
             if path_exists(spark, path):
                 current = spark.read.schema(schema).parquet(path)
-            merged = merge_latest(
-                current, batch.select(*schema.names), keys, order, partitions
-            )
+                merged = merge_latest(current, newest, keys, order, partitions)
             merged.write.mode("overwrite").parquet(staged)
+            newest.unpersist()
         (
             spark.read.schema(schema).parquet(staged)
             .hint("rebalance", *partitions)

@@ -14,7 +14,7 @@ from terrametry.streaming.jobs import append_files, daily_logs
 from terrametry.streaming.messages import (
     drop_repeats, parse_messages, publish, route, tallies, to_messages,
 )
-from terrametry.streaming.upsert import upsert_sink
+from terrametry.streaming.upsert import merge_latest, upsert_sink
 
 TABLE = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.IntegerType()),
                       T.StructField("o", T.LongType()), T.StructField("day", T.StringType())])
@@ -101,6 +101,18 @@ def test_upsert_last_write_wins_and_replay_changes_nothing(spark, tmp_path, rows
         (0, 3), (1, 3), (2, 1)]
 
 
+def test_upsert_reads_only_touched_partitions(spark, tmp_path, rows):
+    table = str(tmp_path / "t")
+    first = batch(spark, ("a", 1, 1, "d1"), ("b", 1, 1, "d2"), ("n", 1, 1, None))
+    upsert_sink(table, str(tmp_path / "c"), TABLE, ["id"], ["o"], ["day"])(first, 0)
+    current = spark.read.schema(TABLE).parquet(table)
+    merged = merge_latest(current, batch(spark, ("b", 2, 2, "d2"), ("m", 2, 2, None)), ["id"], ["o"], ["day"])
+    scan = next(l for l in merged._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in l)
+    assert "PartitionFilters: [concat_ws" in scan
+    # the partition without a value is merged like any other
+    assert rows(merged) == [("b", 2, 2, "d2"), ("m", 2, 2, None), ("n", 1, 1, None)]
+
+
 def test_replay_after_a_loss_in_mid_replacement(spark, tmp_path, rows):
     """A partition deleted but not yet replaced comes back from the staged copy."""
     table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")

@@ -127,7 +127,7 @@ def test_whole_batch_job(spark, raw_files, rows):
     summary = build_warehouse(spark, paths).first()
     assert (summary.total_transactions, summary.nb_departements, summary.annee_debut,
             summary.annee_fin, summary.nb_types_biens) == (3, 3, 2019, 2020, 2)
-    table = spark.table("job.mutations_enrichies")
+    table = spark.table("job.enriched_sales")
     assert table.schema.names == ENRICHED.names
     paris = table.filter("code_departement = '75'").first()
     assert (paris.prix_m2, paris.nb_entreprises_actives, paris.diversite_sectorielle,
