@@ -84,7 +84,7 @@ def label_regex(spark, sf_dir):
 
 
 @query("""
-SELECT user_id::varchar AS "Container", max(epoch_ms(ts)) // 1000 * 1000 AS "Started At"
+SELECT user_id::varchar AS "Container", max(epoch_us(ts)) // 1000000 * 1000 AS "Started At"
 FROM events GROUP BY 1""")
 def relabel_table(spark, sf_dir):
     labelled = roles.samples(spark, sf_dir).select(
