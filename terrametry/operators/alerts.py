@@ -94,20 +94,16 @@ def _gauge(samples, rules, labels, step, metric, ts):
 
 
 def _growth(samples, rules, labels, step, metric, ts):
-    parts = []
-    for range_s in sorted({rule.range_s for rule in rules}):
-        same = [rule for rule in rules if rule.range_s == range_s]
-        grown = counter_increase(
-            _by_rule(samples, same, metric).select("rule", *labels, ts, "value"),
-            ["rule", *labels], ts, "value", range_s,
-        )
-        value = F.col("increase") / _per_rule(
-            same, lambda r: F.lit(float(r.range_s if r.kind == "rate" else 1))
-        )
-        parts.append(grown.withColumn("value", value).select(
-            "rule", *labels, ts, "value", _compared(same).alias("condition")
-        ))
-    return _union(parts)
+    """All counter rules in one pass, each with its own window."""
+    grown = counter_increase(
+        _by_rule(samples, rules, metric).select("rule", *labels, ts, "value"),
+        ["rule", *labels], ts, "value", max(rule.range_s for rule in rules),
+        reach=_per_rule(rules, lambda r: seconds(r.range_s)),
+    )
+    per = _per_rule(rules, lambda r: F.lit(float(r.range_s if r.kind == "rate" else 1)))
+    return grown.withColumn("value", F.col("increase") / per).select(
+        "rule", *labels, ts, "value", _compared(rules).alias("condition")
+    )
 
 
 def _last_in_step(tagged, labels, step, ts, *by):

@@ -32,17 +32,19 @@ def relabel(df: DataFrame, names: Mapping[str, str], drop: Sequence[str] = ()) -
     return df.drop(*drop).withColumnsRenamed(dict(names))
 
 
-def time_slices(df: DataFrame, ts: str, width_s: int, reach_s: int = 0) -> DataFrame:
+def time_slices(
+    df: DataFrame, ts: str, width_s: int, reach: Column | None = None
+) -> DataFrame:
     """Rows with ``_slice`` (start of their slice) and ``_own``.
 
-    A row in the last ``reach_s`` seconds of a slice also appears in the next
-    one with ``_own`` false, so that each slice sees that much of its past.
+    A row in the last ``reach`` (an interval) of a slice also appears in the
+    next one with ``_own`` false, so that each slice sees that much of its past.
     """
     start = F.window(ts, f"{width_s} seconds").start
-    if not reach_s:
+    if reach is None:
         return df.withColumn("_slice", start).withColumn("_own", F.lit(True))
     following = F.col("_start") + seconds(width_s)
-    late = F.col(ts) >= following - seconds(reach_s)
+    late = F.col(ts) >= following - reach
     placed = F.when(late, F.array("_start", following)).otherwise(F.array("_start"))
     return (
         df.withColumn("_start", start)
@@ -54,15 +56,17 @@ def time_slices(df: DataFrame, ts: str, width_s: int, reach_s: int = 0) -> DataF
 
 def counter_increase(
     samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value",
-    range_s: int = 3600, slice_s: int | None = None,
+    range_s: int = 3600, slice_s: int | None = None, reach: Column | None = None,
 ) -> DataFrame:
     """Each sample with ``increase``: growth of the counter in the closed window
     of ``range_s`` seconds ending at it.
 
     A fall of the value is a restart from zero. Only samples inside the window
     count: there is no extrapolation to its edges, and a window with a single
-    sample gives NULL.
+    sample gives NULL. ``reach`` may give each series its own window, an interval
+    of at most ``range_s`` seconds.
     """
+    reach = seconds(range_s) if reach is None else reach
     width = max(slice_s or 4 * range_s, range_s)
     within = Window.partitionBy(*series, "_slice").orderBy(ts)
     before = F.lag(value).over(within)
@@ -70,14 +74,14 @@ def counter_increase(
         F.col(value) < before, F.col(value)
     ).otherwise(F.col(value) - before)
     running = (
-        time_slices(samples, ts, width, range_s)
+        time_slices(samples, ts, width, reach)
         .withColumn("_step", step)
         .withColumn("_run", F.sum("_step").over(within.rowsBetween(Window.unboundedPreceding, 0)))
     )
     # each sample also looks from the start of its window for the sample next to
     # it: one more sort in the slice, however many samples a window holds
     sample = F.struct(F.col(ts).alias("at"), F.lit(0).alias("probe"))
-    probe = F.struct((F.col(ts) - seconds(range_s)).alias("at"), F.lit(1).alias("probe"))
+    probe = F.struct((F.col(ts) - reach).alias("at"), F.lit(1).alias("probe"))
     backwards = (
         Window.partitionBy(*series, "_slice").orderBy(F.desc("_p.at"), "_p.probe")
         .rowsBetween(Window.unboundedPreceding, 0)
