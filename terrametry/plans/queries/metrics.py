@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ...functions import matches_label
 from ...operators.alerts import Rule, evaluate_rules
-from ...operators.clean import project
 from ...operators.series import (
     absent, age_seconds, alert_hold, counter_increase, counter_rate, gauge_series, instant,
     promote_labels, relabel, series_count, vector_and, vector_div, vector_or,

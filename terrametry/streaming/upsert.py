@@ -41,10 +41,11 @@ def upsert_sink(
     """Function for ``foreachBatch``; exactly one stream may write to ``path``.
 
     The merged partitions are first written below ``checkpoint`` (the folder of
-    the same stream, so batch numbers agree), then replace their counterparts in ``path``. A replayed batch whose staged copy is complete
-    starts from that copy, so that a job lost half way through the replacement
-    loses no rows; replaying a finished batch changes nothing. The partition
-    columns must follow from the key. ``order`` must rise with arrival.
+    the same stream, so batch numbers agree), then replace their counterparts
+    in ``path``. A replayed batch whose staged copy is complete starts from that
+    copy, so that a job lost half way through the replacement loses no rows;
+    replaying a finished batch changes nothing. The partition columns must
+    follow from the key. ``order`` must rise with arrival.
     """
 
     staging = f"{checkpoint}/staged"

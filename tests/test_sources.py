@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from terrametry.operators.documents import (
     conform, conformance, replace_collection, sale_documents, write_documents,
