@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ...functions import band, geo_struct, guarded_rate, quality_flag, zone
+from ...functions import band, geo_struct, guarded_rate, quality_flag, unit_price, zone
 from ...operators.documents import union_documents
 from ...operators.enrich import (
     PRICE_BANDS, TOP_BAND, enrich_left, label_sales, one_row_per_key, quality_totals, salted_left,
@@ -219,8 +219,6 @@ SELECT price_band, count(*) AS n FROM (
   FROM (SELECT {rounded('l_extendedprice / l_quantity')} AS p FROM lineitem))
 GROUP BY 1""")
 def price_band(spark, sf_dir):
-    from ...functions import unit_price
-
     priced = roles.table(spark, sf_dir, "lineitem").select(
         unit_price("l_extendedprice", "l_quantity", exact=True).alias("p")
     )

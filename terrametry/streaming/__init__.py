@@ -1 +1 @@
-"""Structured Streaming: message ingest, keyed upsert, log sink."""
+"""Structured Streaming: message ingest, keyed upsert, log sink, alert rules."""

@@ -5,6 +5,9 @@ import pytest
 
 from terrametry.operators.alerts import Rule, evaluate_rules, reference_rules
 from terrametry.operators.series import promote_labels
+from terrametry.sources import table_stream
+from terrametry.streaming.jobs import run_batches
+from terrametry.streaming.watch import rule_sink
 
 START = dt.datetime(2024, 1, 1)
 LABELS = ("job", "instance", "name")
@@ -100,3 +103,27 @@ def test_a_sample_may_belong_to_several_rules(spark):
     rules = [Rule("Low", "gauge", "g", ">", 1, 0), Rule("Top", "gauge", "g", ">", 10, 0)]
     assert states(evaluate_rules(df, rules, at(60), LABELS)) == {
         ("Low", "a"): ("firing", at(0)), ("Top", "a"): ("inactive", None)}
+
+
+def test_rules_over_a_stream(spark, tmp_path, rows):
+    """Two batches; the state after the second equals that of all samples."""
+    source, history, out = (str(tmp_path / n) for n in ("in", "history", "states"))
+    rules = [Rule("High", "gauge", "g", ">", 5, 60), Rule("Fast", "rate", "c", ">", 0.9, 60)]
+    sink = rule_sink(history, out, rules, LABELS, timedelta(hours=1))
+    def feed(lo, hi):
+        df = samples(spark, [("g", {"name": "a"}, every(15, hi, 9, lo)),
+                             ("c", {"name": "b"}, every(15, hi, lambda t: t * 2, lo))])
+        df.coalesce(1).write.mode("append").parquet(source)
+        stream = table_stream(spark, source, df.schema, files_per_batch=1)
+        run_batches(stream, sink, str(tmp_path / "c")).awaitTermination()
+        return df
+    first, second = feed(0, 45), feed(60, 300)
+    got = states(spark.read.parquet(f"{out}/batch_id=0"))
+    assert got["High", "a"] == ("pending", at(0))
+    whole = first.unionByName(second)
+    want = states(evaluate_rules(whole, rules, at(300), LABELS))
+    assert states(spark.read.parquet(f"{out}/batch_id=1")) == want
+    assert want["High", "a"] == ("firing", at(0)) and want["Fast", "b"][0] == "firing"
+    sink(second, 1)  # a replay
+    assert states(spark.read.parquet(f"{out}/batch_id=1")) == want
+    assert spark.read.parquet(history).count() == whole.count()
