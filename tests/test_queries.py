@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from terrametry.plans.queries import load
 from tools.check import connect, spark_rows, sql_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = load()
 
 
 @pytest.fixture(scope="module")
