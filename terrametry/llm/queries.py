@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, jaccard, quality, suffix_dedup
+from . import bpe, chat, decontaminate, jaccard, quality, secrets, suffix_dedup, warc
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "stratum", "strictness", "level")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path).select(
@@ -33,6 +38,27 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = r"\### Assistant: </turn> ok"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema))
+    out = chat.formatted(chat.best_paths(chat.thread_messages(rows)))
+    out = out.withColumns({"turns": chat.turns_of(F.col("formatted")), "learned": chat.under_loss(F.col("formatted"), F.col("loss"))})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        chat.tree_id("long").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.with_spans(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return found.select("doc_id", *(count(k) for k in secrets.BASE), F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+                        secrets.spans_text(F.col("spans")).alias("spans"))
+
+
 def op8_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("matches", F.lit(0).cast("long"), lambda n, m: n + m["end"] - m["start"])
@@ -51,9 +77,32 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Build] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_reply_trees": op5_reply_trees,
+    "op6_secrets": op6_secrets,
     "op8_benchmark_passages": op8_benchmark_passages,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_reply_trees": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+             e AS (SELECT *, replace(replace(replace(role, '%', '%25'), ':', '%3A'), '<', '%3C') AS head,
+                          replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '\###') AS body FROM c)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(14 + length(head) + length(body))::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+             q AS (SELECT page_id, strlen(body) AS n, sha1(body) AS digest FROM p),
+             r AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS first FROM q)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id < first THEN first END AS refers_to
+        FROM r""",
+}
