@@ -1,7 +1,7 @@
 """Byte-level BPE encoding by a table of distinct words, and decoding by a table of pieces.
 
 Encoding: Spark splits every text into the tokenizer's words. Each chunk of some
-16 MB of text lists its distinct words by buckets of their hash; a bucket encodes each of
+4 MB of text lists its distinct words by buckets of their hash; a bucket encodes each of
 its distinct words once, whatever the number of chunks that have it, and hands the
 ids back. The chunk's words, kept as places in its list, then take their ids by
 position. A frequent word costs one entry for each chunk.
@@ -30,10 +30,10 @@ from .bytesets import bucket_bits, joined, text_bytes, word_hashes
 #: Fixed value: the public pattern by which byte-level BPE splits words; (?U) gives \s its Unicode meaning.
 WORDS = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CHUNK = 16 << 20
+CHUNK = 4 << 20
 _STEP = 1 << 19
-LISTED = "chunk long, bucket long, words array<string>"
-CODED = "chunk long, bucket long, ids binary, sizes binary"
+LISTED = "chunk long, bucket long, n long, n_bytes long, sizes binary, words binary"
+CODED = "chunk long, bucket long, n long, n_ids long, sizes binary, ids binary"
 PLACED = "chunk long, doc_ids array<long>, sizes array<int>, places binary, n long, n_listed long"
 
 
@@ -54,8 +54,36 @@ def words_of(text: Column, specials: list[str]) -> Column:
     return F.when(text.rlike(any_of), F.flatten(cut)).otherwise(found(text))
 
 
-def _chunks(batches):
-    """(number, docs, words, place of each word in the chunk's list, the list by hash, hashes)."""
+def _pack(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
+def _unpack(data: bytes, n: int) -> bytes:
+    return pa.Codec("zstd").decompress(data, decompressed_size=n, asbytes=True)
+
+
+def _pack_numbers(a: np.ndarray) -> bytes:
+    """32-bit numbers; bytes of one rank after another pack better."""
+    return _pack(np.ascontiguousarray(a, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unpack(data, 4 * n), np.uint8).reshape(4, n).T).view(np.uint32).ravel()
+
+
+def _listed(words: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of distinct words by bucket, and each bucket in that order; neighbours begin alike where they can."""
+    buf, begins = joined(words)
+    h = word_hashes(buf, begins[:-1], begins[1:] - 1)
+    padded = np.append(buf, np.zeros(8, np.uint8))
+    head = padded[begins[:-1, None] + np.arange(8)].view(">u8").ravel()
+    bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.lexsort((h, head, bucket))
+    return order, bucket[order]
+
+
+def _chunks(batches, bits: int):
+    """(number, docs, place of each word in the chunk's list, the list, its buckets)."""
     at, part = 0, TaskContext.get().partitionId()
     for batch in batches:
         size = pc.fill_null(pc.cast(batch["size"], pa.int64()), 0).to_numpy()
@@ -66,26 +94,14 @@ def _chunks(batches):
             own = batch.slice(i, j - i)
             i = j
             coded = pc.list_flatten(own["words"]).dictionary_encode()
-            buf, begins = joined(coded.dictionary)
-            h = word_hashes(buf, begins[:-1], begins[1:] - 1)
-            order = np.argsort(h, kind="stable")
+            order, bucket = _listed(coded.dictionary, bits)
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             places = rank[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.uint32)
-            yield part << 32 | at, own, places, coded.dictionary.take(pa.array(order)), h[order]
+            yield part << 32 | at, own, places, coded.dictionary.take(pa.array(order)), bucket
             at += 1
 
 
-def _planes(a: np.ndarray) -> bytes:
-    """Bytes of one rank after another pack better."""
-    return pa.compress(a.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
-
-
-def _from_planes(data: bytes, n: int) -> np.ndarray:
-    raw = pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view(np.uint32).ravel()
-
-
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) for every row; ``path`` is a tokenizer file that every machine can open.
 
@@ -97,14 +113,16 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     split = docs.select("doc_id", F.octet_length("text").alias("size"), words_of(F.col("text"), special_tokens(path)).alias("words"))
 
     def list_words(batches):
-        for chunk, _, _, words, h in _chunks(batches):
-            bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+        for chunk, _, _, words, bucket in _chunks(batches, bits):
+            buf, begins = joined(words)
+            begins = begins - np.arange(len(begins))  # without the line feeds between
+            raw = b"".join(words.cast(pa.binary()).to_pylist())
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = np.append(cut, len(bucket)).astype(np.int32)
-            if len(cut):
-                yield pa.RecordBatch.from_pydict({
-                    "chunk": pa.array([chunk] * len(cut), pa.int64()), "bucket": pa.array(bucket[cut]),
-                    "words": pa.ListArray.from_arrays(ends, words)})
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)]):
+                own = raw[begins[a]:begins[b]]
+                yield pa.RecordBatch.from_pylist([{
+                    "chunk": chunk, "bucket": int(bucket[a]), "n": b - a, "n_bytes": len(own),
+                    "sizes": _pack_numbers(np.diff(begins[a:b + 1])), "words": _pack(own)}])
 
     def encode_words(group: pa.Table) -> pa.Table:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -113,53 +131,54 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_padding()
         tokenizer.no_truncation()
-        wide = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        rows = group["words"].combine_chunks()
-        coded = pc.list_flatten(rows).dictionary_encode()
-        different, ids = coded.dictionary, []
+        rows = []
+        for n, size, sizes, words in zip(*(group[c].to_pylist() for c in ("n", "n_bytes", "sizes", "words"))):
+            ends = np.concatenate([[0], np.cumsum(_numbers(sizes, n))]).astype(np.int32)
+            rows.append(pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(_unpack(words, size))))
+        coded = pa.concat_arrays(rows).dictionary_encode()
+        different, flat, size = coded.dictionary, [], []
         for i in range(0, len(different), 20_000):
-            ids += [np.array(e.ids, wide) for e in tokenizer.encode_batch(
-                different.slice(i, 20_000).to_pylist(), add_special_tokens=False)]
-        at, out, sizes, i = coded.indices.to_numpy(zero_copy_only=False), [], [], 0
-        for n in pc.list_value_length(rows).to_pylist():
-            own = [ids[k] for k in at[i:i + n].tolist()]
-            out.append(np.concatenate(own).astype(np.uint32).astype(wide).tobytes())
-            sizes.append(np.array([len(x) for x in own], np.uint32).tobytes())
+            for e in tokenizer.encode_batch(different.slice(i, 20_000).to_pylist(), add_special_tokens=False):
+                flat.append(np.array(e.ids, np.uint32))
+                size.append(len(flat[-1]))
+        ids, size = np.concatenate(flat), np.array(size, np.int64)
+        begin = np.cumsum(size) - size
+        at, out, i = coded.indices.to_numpy(zero_copy_only=False), [], 0
+        for chunk, bucket, n in zip(*(group[c].to_pylist() for c in ("chunk", "bucket", "n"))):
+            own = at[i:i + n]
+            k = size[own]
+            spot = np.repeat(begin[own] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
+            out.append({"chunk": chunk, "bucket": bucket, "n": n, "n_ids": len(spot), "sizes": _pack_numbers(k), "ids": _pack_numbers(ids[spot])})
             i += n
-        return pa.table({"chunk": group["chunk"], "bucket": group["bucket"],
-                         "ids": pa.array(out, pa.binary()), "sizes": pa.array(sizes, pa.binary())})
+        return pa.Table.from_pylist(out)
 
     def place_words(batches):
-        for chunk, own, places, words, _ in _chunks(batches):
+        for chunk, own, places, words, _ in _chunks(batches, bits):
             yield pa.RecordBatch.from_pydict({
                 "chunk": pa.array([chunk], pa.int64()), "doc_ids": pa.array([own["doc_id"].to_pylist()], pa.list_(pa.int64())),
                 "sizes": pa.array([pc.list_value_length(own["words"]).to_pylist()], pa.list_(pa.int32())),
-                "places": pa.array([_planes(places)], pa.binary()), "n": pa.array([len(places)], pa.int64()),
+                "places": pa.array([_pack_numbers(places)], pa.binary()), "n": pa.array([len(places)], pa.int64()),
                 "n_listed": pa.array([len(words)], pa.int64())})
 
     def put_back(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows != 1 or left["n_listed"][0].as_py() != (pc.sum(right["n"]).as_py() or 0):
+            raise ValueError("the documents came in another order when they were read again")
         right = right.sort_by("bucket")
-        size = np.frombuffer(b"".join(right["sizes"].to_pylist()), np.uint32).astype(np.int64)
-        raw = b"".join(right["ids"].to_pylist())
-        n = int(size.sum())
-        ids = np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32)
+        none = [np.zeros(0, np.uint32)]
+        size, ids = (np.concatenate([*(_numbers(x, n) for x, n in zip(right[c].to_pylist(), right[m].to_pylist())), *none])
+                     for c, m in (("sizes", "n"), ("ids", "n_ids")))
+        size, ids = size.astype(np.int64), ids.astype(np.int32)
         begin = np.cumsum(size) - size
-        row = left.slice(0, 1)
-        if left.num_rows != 1 or row["n_listed"][0].as_py() != len(size):
-            raise ValueError("the documents came in another order when they were read again")
-        places = _from_planes(row["places"][0].as_py(), row["n"][0].as_py())
-        parts = []
+        places = _numbers(left["places"][0].as_py(), left["n"][0].as_py())
+        parts = [np.zeros(0, np.int32)]
         for i in range(0, len(places), _STEP):
             at = places[i:i + _STEP]
             k = size[at]
-            from_start = np.repeat(begin[at] - (np.cumsum(k) - k), k)
-            parts.append(ids[from_start + np.arange(len(from_start))].astype(np.int32))
-        words_before = np.cumsum(np.concatenate([[0], row["sizes"].combine_chunks().flatten().to_numpy(zero_copy_only=False)]))
-        ids_before = np.concatenate([[0], np.cumsum(size[places])])
-        return pa.table({
-            "doc_id": row["doc_ids"].combine_chunks().flatten(),
-            "ids": pa.ListArray.from_arrays(ids_before[words_before].astype(np.int32),
-                                            pa.array(np.concatenate([*parts, np.zeros(0, np.int32)])))})
+            parts.append(ids[np.repeat(begin[at] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))])
+        n_words = left["sizes"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        before = np.concatenate([[0], np.cumsum(size[places])])[np.concatenate([[0], np.cumsum(n_words)])]
+        return pa.table({"doc_id": left["doc_ids"].combine_chunks().flatten(),
+                         "ids": pa.ListArray.from_arrays(before.astype(np.int32), pa.array(np.concatenate(parts)))})
 
     coded = split.mapInArrow(list_words, LISTED).groupBy("bucket").applyInArrow(encode_words, CODED)
     placed = split.mapInArrow(place_words, PLACED)
@@ -189,22 +208,31 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str =
     table = encoded.sparkSession.sparkContext.broadcast(piece_table(path))
     schema = encoded.select("*", F.lit("").alias(text_col)).schema
 
+    def texts_of(rows: pa.Array, data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> list[str]:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)).tolist()
+        ids = pc.list_flatten(rows).to_numpy(zero_copy_only=False)
+        ids = np.where((ids >= 0) & (ids < len(length)), ids, len(length) - 1)
+        out, a = [], 0
+        for b in ends:
+            text = []
+            for i in range(a, b, _STEP):
+                own = ids[i:min(b, i + _STEP)]
+                k = length[own]
+                text.append(data[np.repeat(begin[own] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))].tobytes())
+            out.append(b"".join(text).decode("utf-8", "replace"))
+            a = b
+        return out
+
     def join_pieces(batches):
         data, begin = table.value
-        length = np.diff(begin)
+        length, begin = np.diff(begin), begin[:-1]
         for batch in batches:
-            rows = batch[ids_col]
-            sizes = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(rows), 0).to_numpy()]))
-            ids = pc.list_flatten(rows).to_numpy(zero_copy_only=False)
-            ids = np.where((ids >= 0) & (ids < len(length)), ids, len(length) - 1).astype(np.int64)
-            texts = []
-            for a, b in zip(sizes[:-1].tolist(), sizes[1:].tolist()):
-                own, text = ids[a:b], []
-                for i in range(0, len(own), _STEP):
-                    k = length[own[i:i + _STEP]]
-                    shift = np.repeat(begin[own[i:i + _STEP]] - (np.cumsum(k) - k), k)
-                    text.append(data[shift + np.arange(len(shift))].tobytes())
-                texts.append(b"".join(text).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
+            total, i = np.cumsum(pc.fill_null(pc.list_value_length(batch[ids_col]), 0).to_numpy(zero_copy_only=False)), 0
+            while i < batch.num_rows:  # some rows at a time, to bound what is held
+                j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + 2 * _STEP)))
+                rows = batch.slice(i, j - i)
+                i = j
+                texts = pa.array(texts_of(rows[ids_col], data, begin, length), pa.string())
+                yield pa.RecordBatch.from_arrays([*rows.columns, texts], [*rows.schema.names, text_col])
 
     return encoded.mapInArrow(join_pieces, schema)
