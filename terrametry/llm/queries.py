@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, jaccard, quality, secrets, suffix_dedup, warc
+from . import bpe, chat, decontaminate, jaccard, licenses, quality, secrets, suffix_dedup, toxicity, warc
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text_digest", F.array_join("licenses", ",").alias("licenses"), F.array_join("notices", ",").alias("notices"))
+
+
 def op8_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("matches", F.lit(0).cast("long"), lambda n, m: n + m["end"] - m["start"])
@@ -82,6 +94,8 @@ QUERIES: dict[str, Build] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_reply_trees": op5_reply_trees,
     "op6_secrets": op6_secrets,
+    "op7_toxicity": op7_toxicity,
+    "op9_licenses": op9_licenses,
     "op8_benchmark_passages": op8_benchmark_passages,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
