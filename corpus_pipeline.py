@@ -2,19 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terrametry.llm import jaccard
+from terrametry.llm import bpe, decontaminate, jaccard, quality, secrets
 from terrametry.session import stage
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near copies."""
     return jaccard.one_per_group(docs)
 
 
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def safe_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of all documents."""
+    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 STAGES = [
+    ("quality_rules", good_documents),
     ("jaccard_join", distinct_documents),
+    ("benchmark_decontamination", clean_documents),
+    ("secret_scans", safe_documents),
+    ("bpe", encoded_documents),
 ]
 #: No SQL says the same: the last stage encodes texts.
 ORACLE_SQL = None
