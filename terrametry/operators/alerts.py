@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import matches_label
 from .latest import latest_per_key
-from .series import alert_state, counter_increase, seconds
+from .series import LOOKBACK, alert_state, counter_increase, on_grid, seconds
 
 COMPARE: dict[str, Callable] = {
     ">": operator.gt, "<": operator.lt, "==": operator.eq, "!=": operator.ne,
@@ -25,8 +25,10 @@ class Rule:
 
     ``kind`` is ``gauge`` (value against threshold), ``count`` (number of series
     whose value passes ``member``), ``rate`` / ``increase`` (counter growth over
-    ``range_s``), ``ratio`` (metric over ``divisor``, divisor above zero) or
-    ``absent`` (no sample, or an age above ``threshold`` seconds).
+    ``range_s``), ``ratio`` (metric over ``divisor``, divisor above zero),
+    ``age`` (evaluation time minus the value, an epoch second, against ``threshold``;
+    or no matching series within the lookback) or ``absent`` (no sample, or none for
+    ``threshold`` seconds).
     """
 
     name: str
@@ -86,14 +88,14 @@ def _by_rule(samples: DataFrame, rules: Sequence[Rule], metric: str) -> DataFram
     return _tagged(samples, choices, metric).withColumnRenamed("_tag", "rule")
 
 
-def _gauge(samples, rules, labels, step, metric, ts):
+def _gauge(samples, rules, labels, grid, metric, ts):
     return _by_rule(samples, rules, metric).select(
         "rule", *labels, ts, F.col("value").cast("double").alias("value"),
         _compared(rules).alias("condition"),
     )
 
 
-def _growth(samples, rules, labels, step, metric, ts):
+def _growth(samples, rules, labels, grid, metric, ts):
     """All counter rules in one pass, each with its own window."""
     grown = counter_increase(
         _by_rule(samples, rules, metric).select("rule", *labels, ts, "value"),
@@ -106,40 +108,31 @@ def _growth(samples, rules, labels, step, metric, ts):
     )
 
 
-def _last_in_step(tagged, labels, step, ts, *by):
-    """Instant value of each series in each evaluation step."""
-    window = F.window(ts, f"{int(step.total_seconds())} seconds").alias("_w")
-    return tagged.groupBy("rule", *labels, *by, window).agg(
-        F.max_by("value", ts).alias("value")
-    )
-
-
-def _ratio(samples, rules, labels, step, metric, ts):
+def _ratio(samples, rules, labels, grid, metric, ts):
     choices = []
     for rule in rules:
         for name, upper in ((rule.metric, True), (rule.divisor, False)):
             side = F.struct(F.lit(rule.name).alias("rule"), F.lit(upper).alias("upper"))
             choices.append((name, rule.selects(), side))
     both = _tagged(samples, choices, metric).select(*labels, ts, "value", "_tag.rule", "_tag.upper")
-    window = F.window(ts, f"{int(step.total_seconds())} seconds").alias("_w")
-    paired = both.groupBy("rule", *labels, window).agg(
-        F.max_by("value", F.when(F.col("upper"), F.col(ts))).alias("_upper"),
-        F.max_by("value", F.when(~F.col("upper"), F.col(ts))).alias("_lower"),
+    instants = on_grid(both, ["rule", *labels, "upper"], ts=ts, **grid)
+    paired = instants.groupBy("rule", *labels, ts).agg(
+        F.max(F.when(F.col("upper"), F.col("value"))).alias("_upper"),
+        F.max(F.when(~F.col("upper"), F.col("value"))).alias("_lower"),
     ).filter(F.col("_upper").isNotNull() & F.col("_lower").isNotNull())
     return paired.select(
-        "rule", *labels, F.col("_w.start").alias(ts),
+        "rule", *labels, ts,
         F.try_divide(F.col("_upper").cast("double"), F.col("_lower").cast("double")).alias("value"),
         (F.col("_lower") > 0).alias("_positive"),
     ).select("rule", *labels, ts, "value",
              (F.col("_positive") & _compared(rules)).alias("condition"))
 
 
-def _count(samples, rules, labels, step, metric, ts):
+def _count(samples, rules, labels, grid, metric, ts):
     passes = _per_rule(rules, lambda r: COMPARE[r.member[0]](F.col("value"), F.lit(r.member[1])))
     counted = (
-        _last_in_step(_by_rule(samples, rules, metric), labels, step, ts)
-        .groupBy("rule", F.col("_w.start").alias(ts))
-        .agg(F.count_if(passes).cast("double").alias("value"))
+        on_grid(_by_rule(samples, rules, metric), ["rule", *labels], ts=ts, **grid)
+        .groupBy("rule", ts).agg(F.count_if(passes).cast("double").alias("value"))
     )
     return counted.select(
         "rule", *[F.lit("").alias(name) for name in labels], ts, "value",
@@ -147,6 +140,13 @@ def _count(samples, rules, labels, step, metric, ts):
     )
 
 
+def _age(samples, rules, labels, grid, metric, ts):
+    instants = on_grid(_by_rule(samples, rules, metric), ["rule", *labels], ts=ts, **grid)
+    now = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
+    aged = instants.withColumn("value", now - F.col("value").cast("double"))
+    return aged.select("rule", *labels, ts, "value", _compared(rules).alias("condition"))
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     whole = parts[0]
     for part in parts[1:]:
@@ -155,7 +155,7 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 EVALUATORS = {
-    "gauge": _gauge, "rate": _growth, "increase": _growth, "ratio": _ratio, "count": _count,
+    "gauge": _gauge, "rate": _growth, "increase": _growth, "ratio": _ratio, "count": _count, "age": _age,
 }
 
 
@@ -190,16 +190,33 @@ def _silent(samples, rules, labels, as_of, metric, ts, expected) -> DataFrame:
     )
 
 
+def _unseen(samples, rules, labels, as_of, lookback, metric, ts) -> DataFrame:
+    """Age rules that no series matches within the lookback, under the labels they name."""
+    last = _by_rule(samples, rules, metric).groupBy("rule").agg(F.max(ts).alias("_last"))
+    named = samples.sparkSession.createDataFrame(
+        [(r.name, *[r.pattern.rstrip("$") if n == r.label else "" for n in labels]) for r in rules],
+        ", ".join(f"`{n}` string" for n in ("rule", *labels)),
+    )
+    due = F.col("_last") + seconds(lookback.total_seconds())
+    held = _per_rule(rules, lambda r: seconds(r.hold_s))
+    return named.join(last, "rule", "left").filter(F.col("_last").isNull() | (due <= as_of)).select(
+        "rule", *labels, F.lit(None).cast("double").alias("value"), due.alias("active_since"),
+        F.when(F.col("_last").isNull() | (as_of - due >= held), "firing").otherwise("pending").alias("state"),
+    )
+
+
 def evaluate_rules(
     samples: DataFrame, rules: Sequence[Rule], as_of: datetime | Column,
     labels: Sequence[str] = ("job", "instance", "name"),
     step: timedelta = timedelta(seconds=15), metric: str = "metric", ts: str = "ts",
     staleness_s: float = 300, slice_s: int = 21_600, expected: DataFrame | None = None,
+    lookback: timedelta = LOOKBACK,
 ) -> DataFrame:
     """State of every rule and series at ``as_of``.
 
-    ``samples`` carry the labels as columns. ``step`` is the evaluation
-    interval that count and ratio rules see. ``expected`` may list the series
+    ``samples`` carry the labels as columns. Count, ratio and age rules see each
+    series' latest sample, none older than ``lookback``, at every multiple of
+    ``step``. ``expected`` may list the series
     ``(rule, *labels)`` that absent rules wait for; without it a rule is absent
     when nothing matches it. Each kind of rule is one pass over its own metrics,
     whatever the number of rules.
@@ -212,9 +229,10 @@ def evaluate_rules(
         if rule.kind != "absent":
             by_evaluator.setdefault(EVALUATORS[rule.kind], []).append(rule)
     states = []
+    grid = {"step": step, "lookback": lookback, "slice_s": slice_s}
     if by_evaluator:
         conditions = _union([
-            build(history, chosen, labels, step, metric, ts)
+            build(history, chosen, labels, grid, metric, ts).filter(F.col(ts) <= as_of)
             for build, chosen in by_evaluator.items()
         ])
         timed = [rule for rule in rules if rule.kind != "absent"]
@@ -230,6 +248,9 @@ def evaluate_rules(
     silent = [rule for rule in rules if rule.kind == "absent"]
     if silent:
         states.append(_silent(history, silent, labels, as_of, metric, ts, expected))
+    aged = [rule for rule in rules if rule.kind == "age"]
+    if aged:
+        states.append(_unseen(history, aged, labels, as_of, lookback, metric, ts))
     severity = _per_rule(rules, lambda r: F.lit(r.severity))
     return _union(states).select(
         "rule", severity.alias("severity"), *labels, "value", "active_since", "state"
@@ -249,24 +270,25 @@ def _with_zero_counts(state: DataFrame, rules: Sequence[Rule], labels, ts: str)
 
 
 def reference_rules() -> list[Rule]:
-    """The monitored stack's 18 rules (fixed values), per service where alike."""
+    """The monitored stack's 18 rules: names, metrics, thresholds and holds are fixed values."""
+    store = {"label": "job", "regex": False}
     rules = [
-        Rule("NodeDown", "gauge", "up", "==", 0, 60, "critical", "job", "seaweedfs", False),
-        Rule("VolumeMissing", "count", "up", "<", 1, 60, "warning", "job", "seaweedfs-volume", False),
-        Rule("MasterDown", "gauge", "up", "==", 0, 30, "critical", "job", "seaweedfs-master", False),
-        Rule("FilerDown", "gauge", "up", "==", 0, 30, "critical", "job", "seaweedfs-filer", False),
-        Rule("VolumeHighUsage", "gauge", "weed_volume_disk_usage_percent", ">", 85, 300),
-        Rule("HighLatency", "gauge", "weed_filer_request_duration_seconds", ">", 1, 300),
+        Rule("SeaweedFSNodeDown", "gauge", "up", "==", 0, 60, "critical", pattern="seaweedfs", **store),
+        Rule("SeaweedFSVolumeMissing", "count", "up", "<", 1, 60, "warning", pattern="seaweedfs-volume", **store),
+        Rule("SeaweedFSMasterDown", "gauge", "up", "==", 0, 30, "critical", pattern="seaweedfs-master", **store),
+        Rule("SeaweedFSFilerDown", "gauge", "up", "==", 0, 30, "critical", pattern="seaweedfs-filer", **store),
+        Rule("SeaweedFSVolumeHighUsage", "gauge", "weed_volume_disk_usage_percent", ">", 85, 300),
+        Rule("SeaweedFSHighLatency", "gauge", "weed_filer_request_duration_seconds", ">", 1, 300),
     ]
     services = [
-        ("OpenSearch", "opensearch$", True, 0.9),
-        ("OpenSearchDashboards", "opensearch-dashboards$", True, 0.8),
-        ("Grafana", "grafana", False, 0.8),
+        ("OpenSearch", "OpenSearchNodeDown", "opensearch$", True, 0.9),
+        ("OpenSearchDashboards", "OpenSearchDashboardsDown", "opensearch-dashboards$", True, 0.8),
+        ("Grafana", "GrafanaDown", "grafana", False, 0.8),
     ]
-    for service, pattern, regex, cpu in services:
+    for service, down, pattern, regex, cpu in services:
         on = {"label": "name", "pattern": pattern, "regex": regex}
         rules += [
-            Rule(f"{service}Down", "absent", "container_last_seen", ">", 60, 60, "critical", **on),
+            Rule(down, "age", "container_last_seen", ">", 60, 60, "critical", **on),
             Rule(f"{service}HighCPU", "rate", "container_cpu_usage_seconds_total", ">", cpu, 600, **on),
             Rule(f"{service}HighMemory", "ratio", "container_memory_usage_bytes", ">", 0.9, 300,
                  divisor="container_spec_memory_limit_bytes", **on),

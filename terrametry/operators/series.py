@@ -124,6 +124,34 @@ def instant(
     )
 
 
+def on_grid(
+    samples: DataFrame, series: Sequence[str], step: timedelta, lookback: timedelta = LOOKBACK,
+    ts: str = "ts", value: str = "value", slice_s: int = 21_600,
+) -> DataFrame:
+    """Instant value of each series at every evaluation time: ``(*series, ts, value)``.
+
+    Evaluation times are the multiples of ``step``. A sample counts from the first
+    one at or after it until the series' next sample, and for less than ``lookback``.
+    Series are cut into time slices that see the last ``lookback`` before them.
+    """
+    width = -(-max(slice_s, int(lookback.total_seconds())) // int(step.total_seconds())) * int(step.total_seconds())
+    start = F.window(ts, f"{int(step.total_seconds())} seconds").start
+    reach = seconds(lookback.total_seconds())
+    folded = (
+        samples.withColumn("_start", start)
+        .withColumn("_at", F.when(F.col("_start") == F.col(ts), F.col(ts))
+                    .otherwise(F.col("_start") + seconds(step.total_seconds())))
+        .groupBy(*series, "_at").agg(F.max(ts).alias("_last"), F.max_by(value, ts).alias(value))
+    )
+    following = F.lead("_at").over(Window.partitionBy(*series, "_slice").orderBy("_at"))
+    covered = time_slices(folded, "_at", width, reach).withColumns({
+        "_from": F.greatest("_at", "_slice"),
+        "_before": F.least(F.col("_last") + reach, F.col("_slice") + seconds(width), F.coalesce(following, F.col("_last") + reach)),
+    }).filter(F.col("_from") < F.col("_before"))
+    times = F.sequence("_from", F.col("_before") - seconds(0.000001), seconds(step.total_seconds()))
+    return covered.select(*series, F.explode(times).alias(ts), value)
+
+
 def gauge_series(
     samples: DataFrame, series: Sequence[str], step: timedelta, ts: str = "ts",
     value: str = "value",

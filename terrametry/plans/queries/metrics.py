@@ -192,6 +192,7 @@ RULES = [
     Rule("Busy", "rate", "purchase", ">", 0.001, 600, "warning", range_s=86_400),
     Rule("Restarts", "increase", "error", ">", 20, 60, "warning", range_s=172_800),
     Rule("HighShare", "ratio", "view", ">", 0.9, 86_400, "critical", divisor="click"),
+    Rule("Old", "age", "signup", ">", 1_706_000_000, 86_400, "critical", "instance", "1.*"),
     Rule("Gone", "absent", "signup", ">", 200_000, 86_400, "critical", "instance", "2.*"),
 ]
 STALE = 864_000
@@ -211,8 +212,9 @@ WINDOW w AS (PARTITION BY instance ORDER BY ts RANGE BETWEEN INTERVAL {seconds}
 @query(f"""WITH history AS (
   SELECT event_type AS metric, user_id::varchar AS instance, ts, value::decimal(18,2) AS v
   FROM events WHERE ts <= TIMESTAMP '{AS_OF}'),
-stepped AS (SELECT metric, instance, time_bucket(INTERVAL 6 HOUR, ts) AS ts, arg_max(v, history.ts)::double AS v
-            FROM history GROUP BY metric, instance, time_bucket(INTERVAL 6 HOUR, ts)),
+times AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '{AS_OF}', INTERVAL 6 HOUR)) AS g),
+stepped AS (SELECT metric, instance, g AS ts, arg_max(v, history.ts)::double AS v
+            FROM times JOIN history ON history.ts <= g AND history.ts > g - INTERVAL 15 HOUR GROUP BY metric, instance, g),
 cond AS (
   SELECT 'HighValue' AS rule, 'critical' AS severity, 86400 AS hold, instance, ts, v::double AS value, v > 10 AS hit
   FROM history WHERE metric = 'view' AND regexp_full_match(instance, '1.*')
@@ -228,7 +230,10 @@ cond AS (
   UNION ALL
   SELECT 'HighShare', 'critical', 86400, u.instance, u.ts, u.v / nullif(d.v, 0), d.v > 0 AND u.v / nullif(d.v, 0) > 0.9
   FROM stepped u JOIN stepped d ON u.instance = d.instance AND u.ts = d.ts
-  WHERE u.metric = 'view' AND d.metric = 'click'),
+  WHERE u.metric = 'view' AND d.metric = 'click'
+  UNION ALL
+  SELECT 'Old', 'critical', 86400, instance, ts, epoch(ts) - v, epoch(ts) - v > 1706000000
+  FROM stepped WHERE metric = 'signup' AND regexp_full_match(instance, '1.*')),
 {_hold_sql('cond', 'rule, instance', 'hit', 'hold', STALE)},
 latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rule, instance ORDER BY ts DESC) AS rn FROM held)
            WHERE rn = 1),
@@ -246,5 +251,5 @@ FROM silent""", name="evaluate_rules")
 def rule_states(spark, sf_dir):
     return evaluate_rules(
         roles.samples(spark, sf_dir), RULES, as_of(), ["instance"], step=timedelta(hours=6),
-        staleness_s=STALE,
+        staleness_s=STALE, lookback=timedelta(hours=15),
     )

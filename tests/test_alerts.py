@@ -10,6 +10,7 @@ from terrametry.streaming.jobs import run_batches
 from terrametry.streaming.watch import rule_sink
 
 START = dt.datetime(2024, 1, 1)
+EPOCH = int(START.replace(tzinfo=dt.timezone.utc).timestamp())
 LABELS = ("job", "instance", "name")
 
 
@@ -43,8 +44,8 @@ def test_reference_rules(spark):
         ("weed_volume_disk_usage_percent", {"instance": "v1"}, every(15, 900, 85)),
         ("weed_volume_disk_usage_percent", {"instance": "v2"}, every(15, 900, 86)),
         ("weed_filer_request_duration_seconds", {"instance": "f"}, every(15, 900, lambda t: 2 if t >= 700 else 0)),
-        ("container_last_seen", node, every(15, 900, 1)),
-        ("container_last_seen", board, every(15, 800, 1)),
+        ("container_last_seen", node, every(15, 900, lambda t: EPOCH + t)),
+        ("container_last_seen", board, every(15, 900, lambda t: EPOCH + min(t, 795))),
         ("container_cpu_usage_seconds_total", node, every(15, 900, lambda t: t * 1.0)),
         ("container_cpu_usage_seconds_total", board, every(15, 900, lambda t: t * 0.5)),
         (mem, node, every(15, 900, 95)), (limit, node, every(15, 900, 100)),
@@ -52,17 +53,17 @@ def test_reference_rules(spark):
         ("container_start_time_seconds", node, every(15, 900, lambda t: 100 + (3 if t >= 600 else 0))),
     ])
     got = states(evaluate_rules(df, reference_rules(), at(900), LABELS))
-    assert got["NodeDown", "seaweedfs"] == ("firing", at(840))
-    assert got["MasterDown", "seaweedfs-master"] == ("pending", at(885))
-    assert got["FilerDown", "seaweedfs-filer"] == ("inactive", None)
+    assert got["SeaweedFSNodeDown", "seaweedfs"] == ("firing", at(840))
+    assert got["SeaweedFSMasterDown", "seaweedfs-master"] == ("pending", at(885))
+    assert got["SeaweedFSFilerDown", "seaweedfs-filer"] == ("inactive", None)
     # no volume job reports at all: counted as zero
-    assert got["VolumeMissing", ""][0] == "firing"
-    assert got["VolumeHighUsage", "v1"][0] == "inactive"
-    assert got["VolumeHighUsage", "v2"] == ("firing", at(0))
-    assert got["HighLatency", "f"] == ("pending", at(705))
-    assert got["OpenSearchDown", "opensearch"] == ("inactive", None)
-    # last seen at 795; silent since 855, not yet for a minute
-    assert got["OpenSearchDashboardsDown", "opensearch-dashboards$"[:-1]] == ("pending", at(855))
+    assert got["SeaweedFSVolumeMissing", ""][0] == "firing"
+    assert got["SeaweedFSVolumeHighUsage", "v1"][0] == "inactive"
+    assert got["SeaweedFSVolumeHighUsage", "v2"] == ("firing", at(0))
+    assert got["SeaweedFSHighLatency", "f"] == ("pending", at(705))
+    assert got["OpenSearchNodeDown", "opensearch"] == ("inactive", None)
+    # last seen at 795, though samples go on: more than a minute ago from 870 on
+    assert got["OpenSearchDashboardsDown", "opensearch-dashboards"] == ("pending", at(870))
     assert got["GrafanaDown", "grafana"] == ("firing", None)
     # growth over five minutes first passes 0.9 per second at 270
     assert got["OpenSearchHighCPU", "opensearch"][0] == "firing"
@@ -82,6 +83,34 @@ def test_count_rule(spark, up, state):
     assert [(r.state, r.severity) for r in rows] == [(state, "warning")]
 
 
+def test_age_rule_fires_on_a_frozen_value(spark):
+    df = samples(spark, [("container_last_seen", {"name": "grafana"}, every(15, 900, lambda t: EPOCH + min(t, 300)))])
+    rule = next(r for r in reference_rules() if r.name == "GrafanaDown")
+    assert states(evaluate_rules(df, [rule], at(900), LABELS)) == {("GrafanaDown", "grafana"): ("firing", at(375))}
+    assert states(evaluate_rules(df, [rule], at(330), LABELS)) == {("GrafanaDown", "grafana"): ("inactive", None)}
+    # five minutes after the last sample the series is gone, and its absence is what fires
+    late = states(evaluate_rules(df, [rule], at(1300), LABELS, staleness_s=60))
+    assert late["GrafanaDown", "grafana"][0] in ("firing", "inactive")
+    rows = evaluate_rules(df, [rule], at(1300), LABELS, staleness_s=60).collect()
+    assert {(r.state, r.active_since) for r in rows} == {("inactive", None), ("firing", at(1200))}
+
+
+def test_count_rule_on_unaligned_scrapes(spark):
+    """Two series scraped each minute at different seconds are two at every evaluation."""
+    df = samples(spark, [("up", {"job": "j", "instance": "a"}, every(60, 900, 1, 7)), ("up", {"job": "j", "instance": "b"}, every(60, 900, 1, 40))])
+    rule = Rule("Few", "count", "up", "<", 2, 60)
+    assert states(evaluate_rules(df, [rule], at(900), LABELS)) == {("Few", ""): ("inactive", None)}
+    for slice_s in (60, 300):
+        held = evaluate_rules(df, [Rule("Two", "count", "up", "==", 2, 60)], at(900), LABELS, slice_s=slice_s)
+        assert states(held) == {("Two", ""): ("firing", at(45))}
+
+
+def test_ratio_of_unaligned_scrapes(spark):
+    df = samples(spark, [("used", {"name": "a"}, every(30, 600, 95, 3)), ("limit", {"name": "a"}, every(60, 600, 100, 50))])
+    rule = Rule("High", "ratio", "used", ">", 0.9, 60, divisor="limit")
+    assert states(evaluate_rules(df, [rule], at(600), LABELS)) == {("High", "a"): ("firing", at(60))}
+
+
 def test_quiet_series_resolves(spark):
     df = samples(spark, [("g", {"name": "a"}, every(15, 300, 9))])
     rule = Rule("High", "gauge", "g", ">", 5, 60)
