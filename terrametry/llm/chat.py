@@ -74,10 +74,9 @@ def _jumps(messages: DataFrame) -> list[DataFrame]:
     while 2 ** (len(jumps) - 1) <= n_nodes and jumps[-1].where("up is not null").take(1):
         last = jumps[-1]
         beyond = last.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"), F.col("n").alias("m"))
-        doubled = last.join(beyond, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-            (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"))
-        jumps.append(stage(doubled, "jumps"))
+        doubled = last.where("up is not null").join(beyond, ["tree", "up"]).select(  # those at their root stay as they are
+            "tree", "node", F.col("next").alias("up"), (F.col("total") + F.col("more")).alias("total"), (F.col("n") + F.col("m")).alias("n"))
+        jumps.append(stage(last.where("up is null").unionAll(doubled), "jumps"))
     return jumps
 
 
@@ -97,7 +96,7 @@ def best_paths(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     for k, jump in enumerate(jumps[:-1]):
         above = path.join(jump.where("up is not null").select("tree", "node", "up"), ["tree", "node"])
         above = above.select("tree", "leaf", "rank", "n", F.col("up").alias("node"), (F.col("up_by") + 2 ** k).alias("up_by"))
-        path = stage(path.unionAll(above), "paths")
+        path = path.unionAll(stage(above, "paths"))
     return path.join(messages.select("tree", "node", "role", "text"), ["tree", "node"]).select(
         "tree", "leaf", "rank", (F.col("n") - 1 - F.col("up_by")).alias("at"), "role", "text")
 
