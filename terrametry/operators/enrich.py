@@ -31,16 +31,6 @@ def one_row_per_key(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return folded.select(*keys, "_row.*")
 
 
-def broadcast_if_below(dim: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Broadcast hint only for a dimension counted to be within ``max_rows``.
-
-    Reads at most ``max_rows + 1`` rows. A larger dimension comes back without
-    a hint and is joined by shuffle. Stage a derived dimension before this, so
-    that it is not computed twice.
-    """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def enrich_left(
     facts: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str]]], dedupe: bool = False
 ) -> DataFrame:

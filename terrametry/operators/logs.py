@@ -44,20 +44,22 @@ def since(df: DataFrame, ts: str, as_of, span: timedelta) -> DataFrame:
 
 
 def auto_step(df: DataFrame, ts: str, buckets: int = 60) -> timedelta:
-    """Smallest round step that covers the time range in at most ``buckets``.
+    """Smallest round step that covers the time range in at most ``buckets``;
+    beyond the listed steps, a whole number of weeks.
 
     Scans the time column alone and reads one row, the bounds, to the driver.
     """
     low, high = df.agg(F.min(ts), F.max(ts)).first()
     span = (high - low) if low is not None else timedelta(0)
-    return next((step for step in NICE_STEPS if step * buckets >= span), NICE_STEPS[-1])
+    weeks = -(-span // (NICE_STEPS[-1] * buckets))
+    return next((step for step in NICE_STEPS if step * buckets >= span), NICE_STEPS[-1] * weeks)
 
 
 def _zero_filled(counts: DataFrame, step: timedelta, by: Sequence[str]) -> DataFrame:
     """Add the empty buckets between first and last bucket, per ``by`` group.
 
     The bucket list is generated in two levels (days, then steps in the day),
-    from the folded counts, so no task builds one array over the whole range.
+    from the folded counts; the days are dealt to all tasks in between.
     """
     width = F.expr(f"INTERVAL '{int(step.total_seconds())}' SECOND")
     coarse_s = max(86_400, int(step.total_seconds()))
@@ -71,6 +73,7 @@ def _zero_filled(counts: DataFrame, step: timedelta, by: Sequence[str]) -> DataF
     spine = (
         bounds.filter(F.col("_low").isNotNull())
         .withColumn("_day", F.explode(F.sequence("_low", "_high", coarse)))
+        .repartition("_day", *by)
         .withColumn("_end", F.least(F.col("_high"), F.col("_day") + coarse - width))
         .select(*by, F.explode(F.sequence("_day", "_end", width)).alias("bucket"))
     )

@@ -99,6 +99,7 @@ def top_groups(
     )
 
 
+# fixed values: the fields an anomaly report shows
 ANOMALY_FIELDS = ("nom_commune", "valeur_fonciere", "surface_bati", "prix_m2", "type_local")
 
 
@@ -113,16 +114,16 @@ def anomalies(
 
 def evolution(
     df: DataFrame, department: str, key: str = "code_departement", year: str = "annee",
-    price: str = "prix_m2", buckets: int = 10, exact: bool = False,
+    price: str = "prix_m2", buckets: int | None = None, exact: bool = False,
 ) -> DataFrame:
-    """Average price per year of one department, first ``buckets`` years."""
-    return (
+    """Average price per year of one department; ``buckets`` may keep the first years only."""
+    years = (
         df.filter((F.col(key) == department) & F.col(year).isNotNull())
         .groupBy(year)
         .agg(or_zero(mean(price, exact), exact=exact).alias("prix_m2_moyen"))
         .orderBy(year)
-        .limit(buckets)
     )
+    return years if buckets is None else years.limit(buckets)
 
 
 def group_stats(

@@ -9,9 +9,9 @@ from ...operators.clean import project
 from ...operators.latest import latest_per_key
 from ...session import scratch_path
 from ...sources import message_stream, observation_pull, table_stream
-from ...streaming.jobs import append_files, run_batches
+from ...streaming.jobs import run_batches
 from ...streaming.messages import (
-    clean_messages, decode, drop_repeats, parse_messages, publish, route, tallies, to_messages,
+    clean_messages, decode, parse_messages, publish, route, tallies, to_messages,
 )
 from ...streaming.upsert import upsert_sink
 from .. import roles
@@ -132,19 +132,28 @@ def stream_upsert(spark, sf_dir):
     return spark.read.schema(UPSERT_TABLE).parquet(table)
 
 
-@query("SELECT DISTINCT event_type, date_trunc('hour', ts) AS hour FROM events")
+FIRST_TABLE = T.StructType([
+    T.StructField("event_type", T.StringType()), T.StructField("hour", T.TimestampType()),
+    T.StructField("event_id", T.LongType()), T.StructField("month", T.StringType()),
+])
+
+
+@query("""
+SELECT event_type, date_trunc('hour', ts) AS hour, min(event_id) AS first_event
+FROM events GROUP BY event_type, date_trunc('hour', ts)""")
 def stream_dedup(spark, sf_dir):
-    """First message per region and hour. Event times cover a month, and files
-    come in any order, so state is kept for longer than that."""
-    out, checkpoint = scratch_path(spark, "first"), scratch_path(spark, "dedup-progress")
-    schema = roles.events(spark, sf_dir).schema
-    stream = table_stream(spark, sf_dir, schema, "events.parquet").select(
-        "event_type", F.date_trunc("hour", "ts").alias("hour"), "ts"
-    )
-    first = drop_repeats(stream, ["event_type", "hour"], "ts", timedelta(days=62))
-    append_files(first, out, checkpoint).awaitTermination()
-    return spark.read.schema("event_type string, hour timestamp").parquet(out).select(
-        "event_type", F.col("hour").cast("timestamp_ntz").alias("hour")
+    """First message per region and hour, whenever and in whatever order they come:
+    the key holds the hour, so the keyed table itself is the memory."""
+    files, table, checkpoint = (scratch_path(spark, name) for name in ("events", "first", "dedup-progress"))
+    hour = F.date_trunc("hour", "ts")
+    roles.events(spark, sf_dir).select(
+        "event_type", hour.cast("timestamp").alias("hour"), "event_id", F.date_format(hour, "yyyy-MM").alias("month")
+    ).repartitionByRange(3, F.desc("hour")).write.parquet(files)
+    stream = table_stream(spark, files, FIRST_TABLE, files_per_batch=1)
+    sink = upsert_sink(table, checkpoint, FIRST_TABLE, ["event_type", "hour"], [-F.col("event_id")], ["month"])
+    run_batches(stream, sink, checkpoint).awaitTermination()
+    return spark.read.schema(FIRST_TABLE).parquet(table).select(
+        "event_type", F.col("hour").cast("timestamp_ntz").alias("hour"), F.col("event_id").alias("first_event")
     )
 
 

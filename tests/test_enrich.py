@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from terrametry.operators.documents import union_documents
 from terrametry.operators.enrich import (
-    broadcast_if_below, enrich_left, frequent_keys, label_sales, one_row_per_key, quality_totals,
+    enrich_left, frequent_keys, label_sales, one_row_per_key, quality_totals,
     salted_left, split_on_null, with_creation_rate,
 )
 from terrametry.operators.profiles import (
@@ -70,14 +70,6 @@ def test_salted_join_equals_plain_join(spark, rows):
     assert rows(salted) == rows(plain)
 
 
-def test_broadcast_only_below_the_bound(spark):
-    dim = spark.range(100)
-    def is_hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert is_hinted(broadcast_if_below(dim, 100))
-    assert not is_hinted(broadcast_if_below(dim, 99))
-
-
 def test_creation_rate(spark, rows):
     df = spark.createDataFrame([(1, 3), (1, 0), (None, 5), (2, None)],
                                "nb_creations_annee bigint, nb_entreprises_actives bigint")

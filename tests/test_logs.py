@@ -2,6 +2,7 @@ import datetime as dt
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from terrametry.operators.logs import (
     auto_step, cardinality, date_histogram, document_total, drop_blank, last_bucket, recent,
@@ -91,3 +92,11 @@ def test_auto_step(logs):
     assert auto_step(logs, "ts", 60) == timedelta(seconds=5)
     assert auto_step(logs, "ts", 5) == timedelta(minutes=1)
     assert auto_step(logs.filter("1 = 0"), "ts") == timedelta(seconds=1)
+    far = logs.select("ts").unionAll(logs.select(F.col("ts") + F.expr("INTERVAL 20 YEAR")))
+    step = auto_step(far, "ts", 60)
+    assert step.days % 7 == 0 and step * 60 >= timedelta(days=20 * 365)
+
+
+def test_empty_buckets_are_made_by_many_tasks(logs):
+    plan = date_histogram(logs, "ts", timedelta(minutes=1))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_day" in plan
