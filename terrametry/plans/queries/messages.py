@@ -1,6 +1,6 @@
 """Messages made of events: cleaning, keys, upsert, dedup, dead letters."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F, types as T
 
@@ -15,7 +15,7 @@ from ...streaming.messages import (
 )
 from ...streaming.upsert import upsert_sink
 from .. import roles
-from ..energy import publish_records
+from ..energy import ENERGY_TABLE, POLL_INTERVAL, ingest_energy, poll_observations, publish_records
 from . import Registry
 
 registry = Registry()
@@ -172,6 +172,43 @@ def lookback_pull(spark, sf_dir):
     )
 
 
+POLLED = datetime(2024, 1, 20, 12)
+
+
+@query("""
+WITH polls AS (SELECT TIMESTAMP '2024-01-20 12:00:00' AS due, INTERVAL 24 HOUR AS reach
+               UNION ALL SELECT TIMESTAMP '2024-01-20 12:15:00', INTERVAL 20 MINUTE
+               UNION ALL SELECT TIMESTAMP '2024-01-20 12:30:00', INTERVAL 20 MINUTE),
+sent AS (SELECT event_type, date_trunc('minute', ts) AS t, value::decimal(18,2)::double AS v, event_id, due
+         FROM events JOIN polls ON date_trunc('minute', ts) >= due - reach AND date_trunc('minute', ts) <= due
+         WHERE event_id % 13 <> 0),
+kept AS (SELECT *, row_number() OVER (PARTITION BY event_type, t ORDER BY event_id DESC, due DESC) AS rn FROM sent)
+SELECT event_type || '_' || strftime(t, '%Y-%m-%dT%H-%M-%S') AS doc_id, v AS consommation, event_id AS ingest_offset,
+       strftime(due, '%Y-%m-%d %H:%M:%S') AS ingested,
+       (SELECT count(*) FROM sent) AS n_received, (SELECT count(*) FROM sent) AS n_ok
+FROM kept WHERE rn = 1""")
+def energy_pipeline(spark, sf_dir):
+    """Three overlapping polls, each sent and drained in small batches; the table keeps the
+    last message of each id and the time it was ingested, the audit counts all."""
+    topic, table, dead, checkpoint = (scratch_path(spark, n) for n in ("polls", "energy", "dead", "energy-progress"))
+    event = F.col("event_id")
+    seen = project(roles.events(spark, sf_dir), {
+        "event_id": event, "libelle_region": "event_type", "date_heure": F.date_trunc("minute", "ts"),
+        "consommation": F.when(event % 13 != 0, F.col("value").cast("decimal(18,2)").cast("string")),
+    })
+    for k in range(3):
+        at = POLLED + k * POLL_INTERVAL
+        poll_observations(seen, topic, F.lit(str(at)).cast("timestamp_ntz"), first=k == 0, offset="event_id",
+                          received=F.lit(str(at)).cast("timestamp"))
+        stream = message_stream(spark, topic, batch_limit=2)
+        ingest_energy(stream, table, dead, checkpoint).awaitTermination()
+    audit = spark.read.parquet(f"{checkpoint}/audit").agg(F.sum("n_received").alias("n_received"), F.sum("n_ok").alias("n_ok"))
+    counted = audit.first()  # one row
+    return spark.read.schema(ENERGY_TABLE).parquet(table).select(
+        "doc_id", "consommation", "ingest_offset", F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingested"),
+        F.lit(counted.n_received).alias("n_received"), F.lit(counted.n_ok).alias("n_ok"))
+
+
 @query(f"""WITH {MESSAGES_SQL}
 SELECT event_id, CASE WHEN consommation IS NULL THEN 'no_measure' ELSE 'no_region' END AS status
 FROM messages WHERE consommation IS NULL OR libelle_region IS NULL""")

@@ -107,6 +107,7 @@ SALE_DOCUMENT = T.StructType(
     )] + [T.StructField("location", GEO_POINT, True)]
 )
 
+# fixed values: fields of the energy messages
 ENERGY_MEASURES = (
     "consommation", "production", "thermique", "nucleaire", "eolien", "solaire",
     "hydraulique", "pompage", "bioenergies", "ech_physiques", "taux_co2",
@@ -130,10 +131,6 @@ LOG_EVENT = T.StructType([
     T.StructField("log", struct(file=struct(path=STRING))),
 ])
 
-METRIC_SAMPLE = struct(
-    ts=T.TimestampType(), metric=STRING, labels=T.MapType(STRING, STRING), value=DOUBLE
-)
-
 
 @dataclass(frozen=True)
 class TableSpec:

@@ -7,14 +7,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-MESSAGE = "key string, value string, ingest_offset bigint"
+MESSAGE = "key string, value string, ingest_time timestamp, ingest_partition int, ingest_offset bigint"
 
 
 def message_stream(
     spark: SparkSession, location: str, format: str = "json", batch_limit: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Keyed messages ``(key, value, ingest_offset)``, all from the start.
+    """Keyed messages (:data:`MESSAGE`), all from the start.
 
     ``kafka`` takes a topic as ``location`` plus connector options and decodes
     the bytes; file formats take a folder. ``batch_limit`` bounds a micro-batch
@@ -25,10 +25,13 @@ def message_stream(
         if batch_limit:
             settings["maxOffsetsPerTrigger"] = str(batch_limit)
         raw = spark.readStream.format("kafka").options(**settings).load()
-        # offsets count per topic partition; one key always stays in one partition
+        # offsets count per topic partition, and a key may move when partitions are added:
+        # time, partition and offset together order the messages of a key
         return raw.select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
+            F.col("timestamp").alias("ingest_time"),
+            F.col("partition").alias("ingest_partition"),
             F.col("offset").alias("ingest_offset"),
         )
     if batch_limit:
@@ -47,6 +50,10 @@ def table_stream(
     return reader.parquet(folder)
 
 
+#: Columns that order messages as they were sent; what a source lacks is NULL.
+MESSAGE_ORDER = ("ingest_time", "ingest_partition", "ingest_offset")
+
+
 def log_line_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Lines ``(message, path)`` of every file below a folder, from the start."""
     lines = spark.readStream.option("recursiveFileLookup", True).text(folder)

@@ -10,8 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.logs import drop_blank
 
-POLL_INTERVAL = timedelta(minutes=15)
-
 
 def _triggered(writer, every: timedelta | None):
     if every is None:

@@ -33,13 +33,15 @@ def clean_messages(
     received: Column | None = None,
 ) -> DataFrame:
     """Measures as numbers (bad text gives NULL), the time as a timestamp, and
-    the time of ingestion."""
+    the time of ingestion: ``received``, else as sent, else now."""
     cleaned = df.withColumns({name: number_from_text(name) for name in measures})
     if ts:
         cleaned = cleaned.withColumn(ts, F.try_to_timestamp(ts))
-    return cleaned.withColumn(
-        "ingestion_timestamp", F.current_timestamp() if received is None else received
-    )
+    if received is None:
+        received = F.current_timestamp()
+        if "ingestion_timestamp" in df.columns:
+            received = F.coalesce(F.try_to_timestamp("ingestion_timestamp"), received)
+    return cleaned.withColumn("ingestion_timestamp", received)
 
 
 def parse_messages(
@@ -51,9 +53,9 @@ def parse_messages(
 
     ``status`` is ``ok``, or why the message is not indexed: ``broken`` JSON,
     ``no_measure`` (the required measure is NULL) or ``no_region``. ``doc_id``
-    is built from the texts as sent.
+    is built from the texts as sent, and the ingestion time sent is kept.
     """
-    decoded = decode(df, value, fields)
+    decoded = decode(df, value, [*fields, "ingestion_timestamp"])
     status = (
         F.when(F.col("broken"), "broken")
         .when(F.col(required).isNull(), "no_measure")
