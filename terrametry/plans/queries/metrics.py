@@ -10,6 +10,10 @@ from ...operators.series import (
     absent, age_seconds, alert_hold, counter_increase, counter_rate, gauge_series, instant,
     promote_labels, relabel, series_count, vector_and, vector_div, vector_or,
 )
+from ...session import scratch_path
+from ...sources import table_stream
+from ...streaming.jobs import run_batches
+from ...streaming.watch import rule_sink
 from .. import roles
 from . import Registry
 
@@ -209,7 +213,7 @@ SELECT '{rule}' AS rule, instance, ts, CASE WHEN count(*) OVER w > 1
 WINDOW w AS (PARTITION BY instance ORDER BY ts RANGE BETWEEN INTERVAL {seconds} SECOND PRECEDING AND CURRENT ROW)"""
 
 
-@query(f"""WITH history AS (
+RULE_STATES_SQL = f"""WITH history AS (
   SELECT event_type AS metric, user_id::varchar AS instance, ts, value::decimal(18,2) AS v
   FROM events WHERE ts <= TIMESTAMP '{AS_OF}'),
 times AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-01', TIMESTAMP '{AS_OF}', INTERVAL 6 HOUR)) AS g),
@@ -247,9 +251,25 @@ UNION ALL
 SELECT 'Gone', 'critical', instance, NULL, CASE WHEN due < TIMESTAMP '{AS_OF}' THEN due END,
        CASE WHEN due >= TIMESTAMP '{AS_OF}' THEN 'inactive'
             WHEN TIMESTAMP '{AS_OF}' - due >= to_seconds(86400) THEN 'firing' ELSE 'pending' END
-FROM silent""", name="evaluate_rules")
+FROM silent"""
+
+
+@query(RULE_STATES_SQL, name="evaluate_rules")
 def rule_states(spark, sf_dir):
     return evaluate_rules(
         roles.samples(spark, sf_dir), RULES, as_of(), ["instance"], step=timedelta(hours=6),
         staleness_s=STALE, lookback=timedelta(hours=15),
     )
+
+
+@query(RULE_STATES_SQL.replace(f"TIMESTAMP '{AS_OF}'", "(SELECT max(ts) FROM events)"))
+def rules_stream(spark, sf_dir):
+    """The same rules over the samples as a stream of small batches; the states after the last."""
+    files, history, states, progress = (scratch_path(spark, n) for n in ("samples", "history", "states", "rule-progress"))
+    samples = roles.samples(spark, sf_dir)
+    samples.repartitionByRange(3, "ts").write.parquet(files)
+    sink = rule_sink(history, states, RULES, ["instance"], step=timedelta(hours=6), staleness_s=STALE, lookback=timedelta(hours=15))
+    run_batches(table_stream(spark, files, samples.schema, files_per_batch=1), sink, progress).awaitTermination()
+    kept = spark.read.parquet(states)
+    last = kept.agg(F.max("batch_id")).first()[0]
+    return kept.filter(F.col("batch_id") == last).drop("batch_id", "as_of")

@@ -13,31 +13,36 @@ from ..operators.series import seconds
 
 def rule_sink(
     history: str, states: str, rules: Sequence[Rule], labels: Sequence[str],
-    horizon: timedelta = timedelta(days=1), ts: str = "ts", **how,
+    horizon: timedelta | None = None, ts: str = "ts", **how,
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: keep samples, then evaluate the rules.
 
     Samples are stored by day and batch, so a replayed batch replaces itself.
-    Each batch evaluates the last ``horizon`` of stored samples as of its newest
-    one; only the days in reach are read. ``horizon`` has to cover the longest
-    hold plus the longest window. States are stored per batch.
+    Each batch evaluates all stored samples as of the newest, so that its states
+    are those of a batch job over the same samples, however long a run has
+    lasted. A ``horizon`` limits what is read to the days in reach; it is refused
+    where it is shorter than a rule's hold plus window, and a run that began
+    before it then counts from its start. States are stored per batch.
     """
+    reach = max((r.hold_s + r.range_s for r in rules), default=0)
+    if horizon is not None and horizon.total_seconds() < reach:
+        raise ValueError(f"rules look {reach} seconds back")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = batch.agg(F.max(ts)).first()[0]
-        if newest is None:
+        if batch.isEmpty():
             return
         (
             batch.withColumns({"day": F.to_date(ts), "batch_id": F.lit(batch_id)})
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("day", "batch_id").parquet(history)
         )
-        as_of = F.lit(newest).cast(batch.schema[ts].dataType)
-        oldest = as_of - seconds(horizon.total_seconds())
         schema = T.StructType([*batch.schema.fields, T.StructField("day", T.DateType())])
-        stored = spark.read.schema(schema).parquet(history)
-        recent = stored.filter((F.col("day") >= F.to_date(oldest)) & (F.col(ts) >= oldest))
+        recent = spark.read.schema(schema).parquet(history)
+        as_of = F.lit(recent.agg(F.max(ts)).first()[0]).cast(batch.schema[ts].dataType)
+        if horizon is not None:
+            oldest = as_of - seconds(horizon.total_seconds())
+            recent = recent.filter((F.col("day") >= F.to_date(oldest)) & (F.col(ts) >= oldest))
         evaluate_rules(recent.drop("day"), rules, as_of, labels, ts=ts, **how).withColumn(
             "as_of", as_of
         ).write.mode("overwrite").parquet(f"{states}/batch_id={batch_id}")
