@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .latest import latest_per_key
 
@@ -231,7 +231,7 @@ def _runs(
     begins = F.when(F.col("_on") & previous.isNotNull() & broken, F.col(ts))
     sliced = time_slices(
         samples.withColumn("_on", F.coalesce(condition, F.lit(False))), ts, slice_s
-    ).drop("_own")
+    ).drop("_own").filter(F.col("_slice").isNotNull())
     return sliced.withColumn("_begin", begins).withColumn(
         "_begin",
         F.last("_begin", ignorenulls=True).over(in_slice.rowsBetween(Window.unboundedPreceding, 0)),
@@ -287,11 +287,15 @@ def alert_hold(
     run, and so does a gap between samples longer than ``staleness_s``.
 
     Runs are found inside each time slice, then linked across slices through
-    one summary row per series and slice.
+    one summary row per series and slice. Summaries and samples come from one
+    scan and one shuffle.
     """
     runs = _runs(samples, series, condition, ts, staleness_s, slice_s)
-    entries = _linked_slices(runs, series, ts, staleness_s).select(*series, "_slice", "_entry")
-    joined = runs.join(entries, [*series, "_slice"], "left")
+    # always the time, but reads every column, so that both uses of the runs share their shuffle
+    hashed = [f.name for f in runs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    whole = runs.withColumn(ts, F.when(F.hash(*hashed) <= 2**31 - 1, F.col(ts)))
+    entries = _linked_slices(whole, series, ts, staleness_s).select(*series, "_slice", "_entry")
+    joined = runs.join(entries, [*series, "_slice"])  # every slice of a series has its summary
     since = F.when(F.col("_on"), F.coalesce("_begin", "_entry"))
     return (
         joined.withColumn("active_since", since)

@@ -62,3 +62,10 @@ def test_partition_filter_reaches_the_table(spark):
 def test_distinct_counts_do_not_expand_the_scan(spark):
     plan = plan_of(QUERIES["active_profile"](spark, SF_DIR))
     assert "Expand" not in plan
+
+
+def test_held_runs_share_one_scan_and_shuffle(spark):
+    df = QUERIES["alert_hold"](spark, SF_DIR)
+    df.collect()
+    plan = plan_of(df).split("== Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
