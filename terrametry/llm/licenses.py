@@ -23,7 +23,8 @@ EQUIVALENT = {
     "organisation": "organization", "per cent": "percent", "recognise": "recognize", "sub license": "sublicense",
     "utilisation": "utilization", "whilst": "while", "wilful": "willful", "http": "https",
 }
-_COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n©]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+_COPYRIGHT = r"(?i)^[^\p{L}\p{N}©]*(?:copyright|\(c\)|©|all rights reserved)"
+_ANY_EQUIVALENT = "(?<![^ ])(?:" + "|".join(EQUIVALENT) + ")(?![^ ])"
 
 _DISCLAIMER = (
     "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
@@ -73,18 +74,25 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), _COPYRIGHT, "")
-    out = F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}]+", " ")
+def _one_spelling(form: Column) -> Column:
+    out = form
     for spelling, one in EQUIVALENT.items():
         out = F.regexp_replace(out, rf"(?<![^ ]){spelling}(?![^ ])", one)
-    return F.trim(out)
+    return F.when(form.rlike(_ANY_EQUIVALENT), out).otherwise(form)
+
+
+def with_forms(texts: DataFrame, text_col: str, forms: str = "forms", whole: str = "whole") -> DataFrame:
+    """``texts`` with the canonical forms of its lines that have one, and of the whole text."""
+    plain = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1), lambda line: F.when(
+        line.rlike(_COPYRIGHT), "").otherwise(F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))))
+    out = texts.withColumn(forms, F.filter(F.transform(plain, _one_spelling), lambda form: form != ""))
+    return out.withColumn(whole, F.array_join(forms, " ")).withColumn(whole, _one_spelling(F.col(whole)))
 
 
 def known_digests(known: DataFrame) -> DataFrame:
     """(digest, license_id) of a table (license_id, text)."""
-    form = canonical(F.col("text"))
-    return known.where(form != "").select(F.md5(form).alias("digest"), "license_id").distinct()
+    known = with_forms(known.select("license_id", "text"), "text").where("whole <> ''")
+    return known.select(F.md5("whole").alias("digest"), "license_id").distinct()
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,10 +100,10 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     spark = docs.sparkSession
     known = spark.createDataFrame(KNOWN, "license_id string, text string") if known is None else known
     known = stage(known_digests(known), "known_licenses")
-    lines = F.array_distinct(F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1), lambda line: F.trim(line) != ""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                       F.md5(canonical(F.col(text_col))).alias("text_digest"), lines.alias("lines"))
-    rows = stage(rows.withColumn("digests", F.transform("lines", lambda line: F.md5(canonical(line)))).drop("lines"), "digests")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    rows = with_forms(rows, "text").select("doc_id", "text_hash", F.md5("whole").alias("text_digest"),
+                                           F.array_distinct(F.transform("forms", lambda form: F.md5(form))).alias("digests"))
+    rows = stage(rows, "digests")
     key = ["doc_id", "text_hash"]
     each = rows.select(*key, F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), F.col("text_digest").alias("digest"))),
