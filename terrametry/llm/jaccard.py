@@ -10,7 +10,7 @@ honoured; the result names each document's connected component.
 2. Documents with one set become one representative. Its rarest shingles - so
    many that a partner must share one of them - are its signature. Documents that
    share signature shingles form groups, and every link lies within a group.
-3. A group larger than a block is first contracted: members are compared with the
+3. A group of more than ``CONTRACT`` members is first contracted: members are compared with the
    smallest member of each of their signature shingles, and shingles whose members
    are all connected by then need no search.
 4. What is left of a group is searched in blocks: members outside its largest
@@ -46,6 +46,8 @@ from .components import components
 SETS = "id long, n_shingles long, set_key binary, shingles binary, signature array<long>"
 #: Members of a group that one task indexes or queries at most.
 BLOCK = 1000
+#: Members of a group beyond which most links are found through its smallest members, before the search.
+CONTRACT = 50
 #: DivideSkip's weight of a binary search against merging, as its authors chose it.
 _MU = 0.0085
 
@@ -210,7 +212,7 @@ def find_links(sets: DataFrame, percent: int) -> DataFrame:
     stars = signs.where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
     group = components(stars, "groups")
     size = group.groupBy("component").agg(F.count("*").alias("n"))
-    large = group.join(size.where(F.col("n") > BLOCK), "component").select(F.col("node").alias("a"))
+    large = group.join(size.where(F.col("n") > CONTRACT), "component").select(F.col("node").alias("a"))
     stars = stage(_verified(stars.join(large, "a", "left_semi"), sets, percent), "stars")
 
     known = components(stars, "contracted").select(F.col("node").alias("rep"), "component")

@@ -35,6 +35,7 @@ def brute(rows, width=5, percent=75):
 @pytest.mark.parametrize("block", [1000, 3])
 def test_components_equal_brute_force(spark, odd_docs, odd_rows, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "CONTRACT", block)
     found = jaccard.jaccard_components(odd_docs.select("doc_id", "text", "id", "batch"))
     assert Counter(map(tuple, found.collect())) == brute([r[:2] for r in odd_rows])
 
@@ -42,6 +43,7 @@ def test_components_equal_brute_force(spark, odd_docs, odd_rows, monkeypatch, bl
 def test_chains_of_near_copies(spark, monkeypatch):
     """Each text is near the next only, so that a group's smallest member links few."""
     monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "CONTRACT", 4)
     rng = random.Random(5)
     words, rows = prose(rng, 60).split(" "), []
     for k in range(16):
