@@ -99,7 +99,40 @@ QUERIES: dict[str, Build] = {
     "op8_benchmark_passages": op8_benchmark_passages,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
+
+
+def _spelled(form: str) -> str:
+    """SQL for equivalent spellings made one; words stand between two blanks meanwhile, so that each has its own."""
+    out = f"' ' || replace({form}, ' ', '  ') || ' '"
+    for spelling, one in licenses.EQUIVALENT.items():
+        out = f"replace({out}, ' {spelling.replace(' ', '  ')} ', ' {one} ')"
+    return f"trim(replace({out}, '  ', ' '))"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_LINE = r"trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g'))"
+_KNOWN = ", ".join(f"({-1 - k}, {_quoted(name)}, {_quoted(text)})" for k, (name, text) in enumerate(licenses.KNOWN))
+LICENSES_SQL = f"""
+    WITH texts AS (SELECT row_number() OVER () AS n, doc_id, NULL AS name, text FROM documents
+                   UNION ALL SELECT n, NULL, name, text FROM (VALUES {_KNOWN}) AS k(n, name, text)),
+         lines AS (SELECT n, doc_id, name, list_filter(list_transform(
+                       string_split(coalesce(text, ''), chr(10)), lambda line: CASE
+                       WHEN regexp_matches(line, {_quoted(licenses._COPYRIGHT)}) THEN '' ELSE {_spelled(_LINE)} END),
+                       lambda form: form <> '') AS forms FROM texts),
+         canonical AS (SELECT *, {_spelled("array_to_string(forms, ' ')")} AS whole FROM lines),
+         known AS (SELECT DISTINCT whole AS form, name FROM canonical WHERE n < 0 AND whole <> ''),
+         docs AS (SELECT n, doc_id, forms, whole FROM canonical WHERE n > 0),
+         named AS (SELECT n, string_agg(name, ',' ORDER BY name) AS licenses FROM docs JOIN known ON whole = form GROUP BY n),
+         noted AS (SELECT n, string_agg(name, ',' ORDER BY name) AS notices
+                   FROM (SELECT DISTINCT n, name FROM (SELECT n, unnest(forms) AS form FROM docs) JOIN known USING (form)) GROUP BY n)
+    SELECT doc_id, md5(whole) AS text_digest, coalesce(licenses, '') AS licenses, coalesce(notices, '') AS notices
+    FROM docs LEFT JOIN named USING (n) LEFT JOIN noted USING (n)"""
+
 SQL: dict[str, str] = {
+    "op9_licenses": LICENSES_SQL,
     "op5_reply_trees": r"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
