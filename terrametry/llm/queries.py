@@ -132,6 +132,20 @@ LICENSES_SQL = f"""
     FROM docs LEFT JOIN named USING (n) LEFT JOIN noted USING (n)"""
 
 SQL: dict[str, str] = {
+    "op4_jaccard_join": r"""
+        WITH RECURSIVE
+             split AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+             sets AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(words) - 3),
+                              lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles FROM split),
+             flat AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+             links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM flat AS a JOIN flat AS b USING (shingle) WHERE a.doc_id <> b.doc_id
+                       GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+             reached AS (SELECT doc_id AS origin, doc_id AS node FROM sets
+                         UNION SELECT origin, b FROM reached JOIN links ON node = a WHERE origin < b)
+        SELECT doc_id, len(shingles) AS n_shingles, component_id
+        FROM sets JOIN (SELECT node AS doc_id, min(origin) AS component_id FROM reached GROUP BY node) USING (doc_id)""",
     "op9_licenses": LICENSES_SQL,
     "op5_reply_trees": r"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
