@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from .latest import latest_per_key
 
 LOOKBACK = timedelta(minutes=5)
+# Fixed value: slices over which samples without time are spread.
+TIMELESS_SLICES = 1024
 
 
 def seconds(n: float) -> Column:
@@ -219,19 +221,22 @@ def absent(
 
 def _runs(
     samples: DataFrame, series: Sequence[str], condition: Column, ts: str,
-    staleness_s: float, slice_s: int,
+    staleness_s: float, slice_s: int, spread: Column | None = None,
 ) -> DataFrame:
     """Samples with ``_on`` and, per slice, the start ``_begin`` of their run.
 
-    ``_begin`` is NULL while a run may have come from an earlier slice.
+    ``_begin`` is NULL while a run may have come from an earlier slice. Samples
+    without time stay if ``spread`` gives them times that deal them over slices;
+    they begin and end no run there.
     """
     in_slice = Window.partitionBy(*series, "_slice").orderBy(ts)
     previous = F.lag(ts).over(in_slice)
     broken = ~F.lag("_on").over(in_slice) | (F.col(ts) - previous > seconds(staleness_s))
     begins = F.when(F.col("_on") & previous.isNotNull() & broken, F.col(ts))
+    times = F.col(ts) if spread is None else F.coalesce(F.col(ts), spread)
     sliced = time_slices(
-        samples.withColumn("_on", F.coalesce(condition, F.lit(False))), ts, slice_s
-    ).drop("_own").filter(F.col("_slice").isNotNull())
+        samples.withColumn("_on", F.coalesce(condition, F.lit(False))).withColumn("_at", times), "_at", slice_s
+    ).drop("_own", "_at").filter(F.col("_slice").isNotNull())
     return sliced.withColumn("_begin", begins).withColumn(
         "_begin",
         F.last("_begin", ignorenulls=True).over(in_slice.rowsBetween(Window.unboundedPreceding, 0)),
@@ -250,7 +255,7 @@ def _linked_slices(
         F.max(ts).alias("_out"), F.max_by("_on", ts).alias("_out_on"),
         F.max("_begin").alias("_out_begin"),
         *[F.max_by(c, ts).alias(c) for c in keep],
-    )
+    ).filter(F.col("_in").isNotNull())
     by_slice = Window.partitionBy(*series).orderBy("_slice")
     linked = F.coalesce(
         F.col("_in_on") & F.lag("_out_on").over(by_slice)
@@ -284,23 +289,30 @@ def alert_hold(
 
     A series is ``pending`` while its condition stays true and ``firing`` once
     it has been true for ``hold`` seconds. A false or NULL condition ends the
-    run, and so does a gap between samples longer than ``staleness_s``.
+    run, and so does a gap between samples longer than ``staleness_s``. A NULL
+    label is a label like any other: the samples that lack it are one series.
+    A sample without time stays, outside every run: ``active_since`` is NULL and
+    it is ``pending`` or ``inactive`` by its own condition.
 
     Runs are found inside each time slice, then linked across slices through
     one summary row per series and slice. Summaries and samples come from one
     scan and one shuffle.
     """
-    runs = _runs(samples, series, condition, ts, staleness_s, slice_s)
+    # a struct is never NULL and equals one with the same NULLs, in windows and in the join
+    keyed = samples.withColumn("_series", F.struct(*series))
+    plain = lambda df: [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = F.timestamp_seconds(F.pmod(F.xxhash64(*plain(samples)), F.lit(TIMELESS_SLICES)) * slice_s)
+    runs = _runs(keyed, ["_series"], condition, ts, staleness_s, slice_s, spread)
     # always the time, but reads every column, so that both uses of the runs share their shuffle
-    hashed = [f.name for f in runs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashed = plain(runs)
     whole = runs.withColumn(ts, F.when(F.hash(*hashed) <= 2**31 - 1, F.col(ts)))
-    entries = _linked_slices(whole, series, ts, staleness_s).select(*series, "_slice", "_entry")
-    joined = runs.join(entries, [*series, "_slice"])  # every slice of a series has its summary
-    since = F.when(F.col("_on"), F.coalesce("_begin", "_entry"))
+    entries = _linked_slices(whole, ["_series"], ts, staleness_s).select("_series", "_slice", "_entry")
+    joined = runs.join(entries, ["_series", "_slice"], "left")  # no summary where no sample has a time
+    since = F.when(F.col("_on") & F.col(ts).isNotNull(), F.coalesce("_begin", "_entry"))
     return (
         joined.withColumn("active_since", since)
         .withColumn("state", _state(F.col("_on"), ts, hold))
-        .drop("_slice", "_on", "_begin", "_entry")
+        .drop("_series", "_slice", "_on", "_begin", "_entry")
     )
 
 

@@ -116,6 +116,32 @@ def test_null_condition_is_false(spark):
     assert alert_hold(df, ["name"], F.col("value") > 0, 1).first().state == "inactive"
 
 
+def test_hold_keeps_samples_without_label_or_time(spark, rows):
+    points = [(None, "u", at(0), 1.0), (None, "u", at(50), 1.0), (None, "u", at(150), 1.0), (None, "u", at(160), 0.0),
+              (None, None, at(60), 1.0), ("a", None, at(0), 1.0), ("a", None, at(90), 1.0), ("a", None, None, 1.0),
+              ("a", None, None, 0.0), (None, None, None, 1.0), ("b", "u", None, 1.0)]
+    df = spark.createDataFrame(points, "name string, user string, ts timestamp, value double")
+    for slice_s in (40, 100, 1000):
+        held = alert_hold(df, ["name", "user"], F.col("value") == 1, 90, staleness_s=100, slice_s=slice_s)
+        assert held.columns == ["name", "user", "ts", "value", "active_since", "state"]
+        assert rows(held) == sorted([
+            (None, "u", at(0), 1.0, at(0), "pending"), (None, "u", at(50), 1.0, at(0), "pending"),
+            (None, "u", at(150), 1.0, at(0), "firing"), (None, "u", at(160), 0.0, None, "inactive"),
+            (None, None, at(60), 1.0, at(60), "pending"), ("a", None, at(0), 1.0, at(0), "pending"),
+            ("a", None, at(90), 1.0, at(0), "firing"), ("a", None, None, 1.0, None, "pending"),
+            ("a", None, None, 0.0, None, "inactive"), (None, None, None, 1.0, None, "pending"),
+            ("b", "u", None, 1.0, None, "pending")], key=repr)
+
+
+def test_samples_without_time_do_not_part_a_run(spark):
+    points = [("a", dt.datetime(1969, 12, 31, 23, 59, 50), 1.0), ("a", dt.datetime(1970, 1, 4), 1.0)]
+    points += [("a", None, float(k)) for k in range(1, 60)]
+    df = spark.createDataFrame(points, "name string, ts timestamp, value double")
+    held = alert_hold(df, ["name"], F.col("value") >= 1, 60, staleness_s=500_000, slice_s=100)
+    assert {r.active_since for r in held.filter("ts IS NOT NULL").collect()} == {points[0][1]}
+    assert held.count() == len(points)
+
+
 def test_instant_and_gauges(spark, rows):
     df = counters(spark, [("a", 0, 1), ("a", 200, 2), ("b", 10, 3), ("a", 900, 9)])
     assert rows(instant(df, ["name"], at(250))) == [("a", at(200), 2.0), ("b", at(10), 3.0)]
