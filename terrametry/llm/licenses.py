@@ -4,6 +4,11 @@ A text's canonical form is lower-case, without copyright lines and punctuation,
 equivalent spellings made one and words a blank apart. Its digest is looked up among
 those of known licences, and so is the digest of every line, for one-line notices.
 
+The default known texts are ``KNOWN``, which the SQL twin holds as well, the longer table
+of ``license_texts.json`` (each licence with and without its usual titles, appendices and
+wordings) and the usual notice lines. A text that several identifiers share has them all,
+as GPL-3.0-only and GPL-3.0-or-later do.
+
 Built-in expressions only. Null and empty texts, and those of copyright lines alone,
 have the empty form, which no licence has. Repeated rows are found alike. A known text
 listed under several names gives them all. An empty table gives no rows.
@@ -11,6 +16,10 @@ listed under several names gives them all. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stage
@@ -72,6 +81,71 @@ KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 )
+# Licences by the names that notices call them, and the words before those names.
+_NAMED = (
+    ("MIT", ("MIT License", "MIT License (MIT)", "MIT")), ("ISC", ("ISC License", "ISC")), ("0BSD", ("Zero-Clause BSD License", "0BSD License")),
+    ("Apache-2.0", ("Apache License, Version 2.0", "Apache License, Version 2.0 (the \"License\")", "Apache License 2.0", "Apache 2.0 License",
+                    "Apache License v2.0", "Apache-2.0 License", "Apache Software License, Version 2.0", "Apache 2.0")),
+    ("BSD-2-Clause", ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License")),
+    ("BSD-3-Clause", ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "Revised BSD License")),
+    ("MPL-2.0", ("Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "Mozilla Public License, Version 2.0", "MPL 2.0", "MPL-2.0")),
+    ("Unlicense", ("Unlicense",)), ("Zlib", ("zlib License", "zlib/libpng License")),
+    ("BSL-1.0", ("Boost Software License, Version 1.0", "Boost Software License 1.0")),
+    ("CC0-1.0", ("CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero 1.0")),
+) + tuple(
+    (f"{short}-{number}{kind}", tuple(form + later for form in (
+        f"{name} License, version {version}", f"{name} License version {version}", f"{name} License v{version}", f"{name} License {version}",
+        f"{name} License ({short}) version {version}", f"{short} version {version}", f"{short} v{version}", f"{short}v{version}")))
+    for short, name, versions in (
+        ("GPL", "GNU General Public", ("2", "2.0", "3", "3.0")), ("LGPL", "GNU Lesser General Public", ("2.1", "3", "3.0")),
+        ("AGPL", "GNU Affero General Public", ("3", "3.0")))
+    for version in versions for number in (version if "." in version else version + ".0",)
+    for kind, later in (("-only", ""), ("-only", " only"), ("-or-later", " or later"), ("-or-later", " or any later version"),
+                        ("-or-later", " or (at your option) any later version"))
+) + tuple(
+    (f"CC-{kind}-{version}", (f"CC {kind} {version}", f"CC-{kind}-{version}", f"Creative Commons {name} {version} International License",
+                              f"Creative Commons {name} {version} International", f"Creative Commons {name} {version} License"))
+    for kind, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                       ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                       ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+    for version in ("4.0",)
+)
+_BEFORE = tuple(f"{what}{how} {under}{the}" for what, how, under, the in product(
+    ("", "This work is ", "This project is ", "This software is ", "This program is ", "This library is ", "This package is ", "This code is ",
+     "This file is ", "The code is ", "This document is ", "This repository is "),
+    ("licensed", "released", "distributed", "available", "made available"),
+    ("under ", "under the terms of "), ("the ", "a ", "")))
+_SPECIAL = (
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "License, v. 2.0. If a copy of the MPL was not distributed with this"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+     "this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("MIT", "MIT Licensed"), ("MIT", "License: MIT"), ("ISC", "License: ISC"), ("Apache-2.0", "License: Apache-2.0"), ("Apache-2.0", "License: Apache 2.0"),
+)
+
+
+def notice_lines() -> list[tuple[str, str]]:
+    """(license_id, line): usual one-line notices of the named licences."""
+    tags = {name for name, _ in _NAMED} | {f"{n}{k}" for n in ("GPL-1.0", "LGPL-2.0") for k in ("-only", "-or-later")}
+    tagged = [(name, f"SPDX-License-Identifier: {name}") for name in sorted(tags)]
+    old = [(name, f"SPDX-License-Identifier: {name.removesuffix('-only')}") for name in sorted(tags) if name.endswith("-only")]
+    return tagged + old + list(_SPECIAL) + [
+        (name, f"{before}{called}") for name, calls in _NAMED for called in calls for before in _BEFORE]
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license_id, text): the longer table in full, every licence in its usual forms.
+
+    A licence's parts (terms, closing line, appendix) may end after any of them; each mark
+    of ``swaps`` stands for one of several wordings; a title may come before.
+    """
+    out = []
+    for entry in json.loads(Path(__file__).with_name("license_texts.json").read_text(encoding="utf-8")):
+        forms = ["".join(entry["parts"][:k + 1]) for k in range(len(entry["parts"]))]
+        for mark, wordings in entry["swaps"].items():
+            forms = list(dict.fromkeys(form.replace(mark, wording) for form in forms for wording in wordings))
+        out += [(name, text) for name in entry["names"] for form in forms for text in (form, *(f"{t}\n\n{form}" for t in entry["titles"]))]
+    return out
 
 
 def _one_spelling(form: Column) -> Column:
@@ -98,7 +172,8 @@ def known_digests(known: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_digest, licenses, notices) for every row: names of the whole text and of its lines, sorted."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(KNOWN, "license_id string, text string") if known is None else known
+    if known is None:
+        known = spark.createDataFrame([*KNOWN, *notice_lines(), *whole_texts()], "license_id string, text string")
     known = stage(known_digests(known), "known_licenses")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     rows = with_forms(rows, "text").select("doc_id", "text_hash", F.md5("whole").alias("text_digest"),
