@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, jaccard, licenses, quality, secrets, suffix_dedup, toxicity, warc
+from . import bpe, chat, decontaminate, exact_dedup, jaccard, licenses, quality, secrets, suffix_dedup, toxicity, warc
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 QUERIES: dict[str, Build] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Build] = {
     "op9_licenses": op9_licenses,
     "op8_benchmark_passages": op8_benchmark_passages,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 
@@ -132,6 +138,10 @@ LICENSES_SQL = f"""
     FROM docs LEFT JOIN named USING (n) LEFT JOIN noted USING (n)"""
 
 SQL: dict[str, str] = {
+    "op13_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op4_jaccard_join": r"""
         WITH RECURSIVE
              split AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
