@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, jaccard, licenses, quality, secrets, suffix_dedup, toxicity, warc
+from . import bpe, chat, decontaminate, exact_dedup, jaccard, lexical, licenses, quality, secrets, suffix_dedup, toxicity, warc
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10).select(
+        F.col("query").alias("item_id"), "rank", "doc_id", "score")
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -103,6 +108,7 @@ QUERIES: dict[str, Build] = {
     "op9_licenses": op9_licenses,
     "op8_benchmark_passages": op8_benchmark_passages,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_lexical_search": op11_lexical_search,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -137,7 +143,23 @@ LICENSES_SQL = f"""
     SELECT doc_id, md5(whole) AS text_digest, coalesce(licenses, '') AS licenses, coalesce(notices, '') AS notices
     FROM docs LEFT JOIN named USING (n) LEFT JOIN noted USING (n)"""
 
+_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          rf"'{lexical.TERM}')")
 SQL: dict[str, str] = {
+    "op11_lexical_search": rf"""
+        WITH split AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+             docs AS (SELECT r, len(terms) AS n FROM split WHERE len(terms) > 0),
+             sums AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+             wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+             tfs AS (SELECT r, doc_id, term, count(*) AS tf FROM (SELECT r, doc_id, unnest(terms) AS term FROM split)
+                     WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+             weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+                         FROM tfs, sums GROUP BY term, n_docs),
+             impacts AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS impact
+                         FROM tfs JOIN docs USING (r) JOIN weights USING (term), sums),
+             scores AS (SELECT item_id, r, doc_id, sum(impact)::BIGINT AS score FROM wanted JOIN impacts USING (term) GROUP BY ALL)
+        SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10""",
     "op13_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
