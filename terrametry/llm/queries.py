@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, jaccard, lexical, licenses, quality, secrets, suffix_dedup, toxicity, warc
+from . import bpe, chat, decontaminate, exact_dedup, jaccard, lexical, licenses, quality, secrets, suffix_dedup, toxicity, turns, warc
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("query").alias("item_id"), "rank", "doc_id", "score")
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damaged(table(spark, sf_dir, "conversations")), gone="gone")
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -109,6 +113,7 @@ QUERIES: dict[str, Build] = {
     "op8_benchmark_passages": op8_benchmark_passages,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_lexical_search": op11_lexical_search,
+    "op12_structure_repair": op12_structure_repair,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
