@@ -16,8 +16,10 @@ null document ids are kept. An empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,9 @@ WORDS = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 CHUNK = 4 << 20
 _STEP = 1 << 19
-LISTED = "chunk long, bucket long, n long, n_bytes long, sizes binary, words binary"
-CODED = "chunk long, bucket long, n long, n_ids long, sizes binary, ids binary"
-PLACED = "chunk long, doc_ids array<long>, sizes array<int>, places binary, n long, n_listed long"
+LISTED = "chunk long, seal binary, bucket long, n long, n_bytes long, sizes binary, words binary"
+CODED = "chunk long, seal binary, bucket long, n long, n_ids long, sizes binary, ids binary"
+PLACED = "chunk long, seal binary, doc_ids array<long>, sizes array<int>, places binary, n long, n_listed long"
 
 
 def special_tokens(path: str) -> list[str]:
@@ -82,8 +84,29 @@ def _listed(words: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return order, bucket[order]
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The tokenizer, once in each worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_padding()
+    tokenizer.no_truncation()
+    return tokenizer
+
+
+def _seal(own: pa.RecordBatch, places: np.ndarray, words: list[bytes]) -> bytes:
+    """Digest of a chunk's ids and texts in their order."""
+    digest = hashlib.blake2b(digest_size=16)
+    for part in (repr(own["doc_id"].to_pylist()).encode(), pc.list_value_length(own["words"]).to_numpy(zero_copy_only=False).tobytes(),
+                 places.tobytes(), np.array([len(w) for w in words], np.int64).tobytes(), *words):
+        digest.update(part)
+    return digest.digest()
+
+
 def _chunks(batches, bits: int):
-    """(number, docs, place of each word in the chunk's list, the list, its buckets)."""
+    """(number, seal, docs, place of each word in the chunk's list, the list, its buckets)."""
     at, part = 0, TaskContext.get().partitionId()
     for batch in batches:
         size = pc.fill_null(pc.cast(batch["size"], pa.int64()), 0).to_numpy()
@@ -98,22 +121,25 @@ def _chunks(batches, bits: int):
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             places = rank[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.uint32)
-            yield part << 32 | at, own, places, coded.dictionary.take(pa.array(order)), bucket
+            words = coded.dictionary.take(pa.array(order))
+            yield part << 32 | at, _seal(own, places, words.cast(pa.binary()).to_pylist()), own, places, words, bucket
             at += 1
+            del own, coded, places, words
+            pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) for every row; ``path`` is a tokenizer file that every machine can open.
 
-    The input is read twice in the same order, as files are; a chunk that differs
-    between the readings stops the job.
+    The input is read twice in the same order, as files are. A chunk's ids and texts are
+    sealed by a digest in both readings, and one that differs stops the job.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     bits = bucket_bits(text_bytes(docs))
     split = docs.select("doc_id", F.octet_length("text").alias("size"), words_of(F.col("text"), special_tokens(path)).alias("words"))
 
     def list_words(batches):
-        for chunk, _, _, words, bucket in _chunks(batches, bits):
+        for chunk, seal, _, _, words, bucket in _chunks(batches, bits):
             buf, begins = joined(words)
             begins = begins - np.arange(len(begins))  # without the line feeds between
             raw = b"".join(words.cast(pa.binary()).to_pylist())
@@ -121,17 +147,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)]):
                 own = raw[begins[a]:begins[b]]
                 yield pa.RecordBatch.from_pylist([{
-                    "chunk": chunk, "bucket": int(bucket[a]), "n": b - a, "n_bytes": len(own),
+                    "chunk": chunk, "seal": seal, "bucket": int(bucket[a]), "n": b - a, "n_bytes": len(own),
                     "sizes": _pack_numbers(np.diff(begins[a:b + 1])), "words": _pack(own)}])
 
     def encode_words(group: pa.Table) -> pa.Table:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
-        rows = []
+        tokenizer, rows = _tokenizer(path), []
         for n, size, sizes, words in zip(*(group[c].to_pylist() for c in ("n", "n_bytes", "sizes", "words"))):
             ends = np.concatenate([[0], np.cumsum(_numbers(sizes, n))]).astype(np.int32)
             rows.append(pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(_unpack(words, size))))
@@ -144,24 +164,25 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         ids, size = np.concatenate(flat), np.array(size, np.int64)
         begin = np.cumsum(size) - size
         at, out, i = coded.indices.to_numpy(zero_copy_only=False), [], 0
-        for chunk, bucket, n in zip(*(group[c].to_pylist() for c in ("chunk", "bucket", "n"))):
+        for chunk, seal, bucket, n in zip(*(group[c].to_pylist() for c in ("chunk", "seal", "bucket", "n"))):
             own = at[i:i + n]
             k = size[own]
             spot = np.repeat(begin[own] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
-            out.append({"chunk": chunk, "bucket": bucket, "n": n, "n_ids": len(spot), "sizes": _pack_numbers(k), "ids": _pack_numbers(ids[spot])})
+            out.append({"chunk": chunk, "seal": seal, "bucket": bucket, "n": n, "n_ids": len(spot), "sizes": _pack_numbers(k), "ids": _pack_numbers(ids[spot])})
             i += n
         return pa.Table.from_pylist(out)
 
     def place_words(batches):
-        for chunk, own, places, words, _ in _chunks(batches, bits):
+        for chunk, seal, own, places, words, _ in _chunks(batches, bits):
             yield pa.RecordBatch.from_pydict({
-                "chunk": pa.array([chunk], pa.int64()), "doc_ids": pa.array([own["doc_id"].to_pylist()], pa.list_(pa.int64())),
+                "chunk": pa.array([chunk], pa.int64()), "seal": pa.array([seal], pa.binary()), "doc_ids": pa.array([own["doc_id"].to_pylist()], pa.list_(pa.int64())),
                 "sizes": pa.array([pc.list_value_length(own["words"]).to_pylist()], pa.list_(pa.int32())),
                 "places": pa.array([_pack_numbers(places)], pa.binary()), "n": pa.array([len(places)], pa.int64()),
                 "n_listed": pa.array([len(words)], pa.int64())})
 
     def put_back(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows != 1 or left["n_listed"][0].as_py() != (pc.sum(right["n"]).as_py() or 0):
+        listed = left.num_rows == 1 and left["n_listed"][0].as_py() == (pc.sum(right["n"]).as_py() or 0)
+        if not listed or {*right["seal"].to_pylist()} - {left["seal"][0].as_py()}:
             raise ValueError("the documents came in another order when they were read again")
         right = right.sort_by("bucket")
         none = [np.zeros(0, np.uint32)]

@@ -1,7 +1,9 @@
+import time
 from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from terrametry.llm import bpe
 
@@ -34,3 +36,11 @@ def test_decoding_of_broken_ids(spark):
 
 def test_empty_table(no_docs):
     assert bpe.decode(bpe.encode(no_docs, PATH), PATH).count() == 0
+
+
+def test_other_rows_on_the_second_reading_stop_the_job(spark):
+    """As many rows and words, but other ones: each reading sees texts of its own."""
+    changing = F.udf(lambda i: str(time.time_ns() % 10**7 + i).zfill(8)).asNondeterministic()
+    docs = spark.range(0, 300, 1, 2).select(F.col("id").alias("doc_id"), changing("id").alias("text"))
+    with pytest.raises(Exception, match="another order"):
+        bpe.encode(docs, PATH).collect()
