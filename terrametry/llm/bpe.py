@@ -96,12 +96,15 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-def _seal(own: pa.RecordBatch, places: np.ndarray, words: list[bytes]) -> bytes:
+def _seal(own: pa.RecordBatch, places: np.ndarray, words: pa.Array) -> bytes:
     """Digest of a chunk's ids and texts in their order."""
     digest = hashlib.blake2b(digest_size=16)
-    for part in (repr(own["doc_id"].to_pylist()).encode(), pc.list_value_length(own["words"]).to_numpy(zero_copy_only=False).tobytes(),
-                 places.tobytes(), np.array([len(w) for w in words], np.int64).tobytes(), *words):
-        digest.update(part)
+    for numbers in (pc.fill_null(own["doc_id"], -1), pc.is_null(own["doc_id"]).cast(pa.int8()), pc.list_value_length(own["words"]),
+                    pc.binary_length(words)):
+        digest.update(np.ascontiguousarray(numbers.to_numpy(zero_copy_only=False)))
+    digest.update(places)
+    if len(words):
+        digest.update(pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "")[0].as_buffer())
     return digest.digest()
 
 
@@ -122,15 +125,17 @@ def _chunks(batches, bits: int):
             rank[order] = np.arange(len(order), dtype=np.uint32)
             places = rank[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.uint32)
             words = coded.dictionary.take(pa.array(order))
-            yield part << 32 | at, _seal(own, places, words.cast(pa.binary()).to_pylist()), own, places, words, bucket
+            yield part << 32 | at, _seal(own, places, words), own, places, words, bucket
             at += 1
             del own, coded, places, words
             pa.default_memory_pool().release_unused()
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: str | None = None) -> DataFrame:
     """(doc_id, ids) for every row; ``path`` is a tokenizer file that every machine can open.
 
+    ``decoded`` names a further column: the ids decoded again, as :func:`decode` does, in the same task.
+
     The input is read twice in the same order, as files are. A chunk's ids and texts are
     sealed by a digest in both readings, and one that differs stops the job.
     """
@@ -198,12 +203,15 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             parts.append(ids[np.repeat(begin[at] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))])
         n_words = left["sizes"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         before = np.concatenate([[0], np.cumsum(size[places])])[np.concatenate([[0], np.cumsum(n_words)])]
-        return pa.table({"doc_id": left["doc_ids"].combine_chunks().flatten(),
-                         "ids": pa.ListArray.from_arrays(before.astype(np.int32), pa.array(np.concatenate(parts)))})
+        out = {"doc_id": left["doc_ids"].combine_chunks().flatten(),
+               "ids": pa.ListArray.from_arrays(before.astype(np.int32), pa.array(np.concatenate(parts)))}
+        return pa.table(out | {decoded: _texts_of(out["ids"], pieces.value)} if decoded else out)
 
+    pieces = docs.sparkSession.sparkContext.broadcast(piece_table(path)) if decoded else None
     coded = split.mapInArrow(list_words, LISTED).groupBy("bucket").applyInArrow(encode_words, CODED)
     placed = split.mapInArrow(place_words, PLACED)
-    return placed.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(put_back, "doc_id long, ids array<int>")
+    return placed.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(
+        put_back, "doc_id long, ids array<int>" + (f", `{decoded}` string" if decoded else ""))
 
 
 def _byte_of() -> dict[str, int]:
@@ -224,36 +232,37 @@ def piece_table(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(listed), np.uint8), np.cumsum([0, *map(len, listed)])
 
 
+def _texts_of(rows: pa.Array, table: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    """The text of each list of ids, from the pieces' bytes."""
+    data, begin = table
+    length, begin = np.diff(begin), begin[:-1]
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)).tolist()
+    ids = pc.list_flatten(rows).to_numpy(zero_copy_only=False)
+    ids = np.where((ids >= 0) & (ids < len(length)), ids, len(length) - 1)
+    out, a = [], 0
+    for b in ends:
+        text = []
+        for i in range(a, b, _STEP):
+            own = ids[i:min(b, i + _STEP)]
+            k = length[own]
+            text.append(data[np.repeat(begin[own] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))].tobytes())
+        out.append(b"".join(text).decode("utf-8", "replace"))
+        a = b
+    return pa.array(out, pa.string())
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of each row's ids; null ids give the empty text."""
     table = encoded.sparkSession.sparkContext.broadcast(piece_table(path))
     schema = encoded.select("*", F.lit("").alias(text_col)).schema
 
-    def texts_of(rows: pa.Array, data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> list[str]:
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)).tolist()
-        ids = pc.list_flatten(rows).to_numpy(zero_copy_only=False)
-        ids = np.where((ids >= 0) & (ids < len(length)), ids, len(length) - 1)
-        out, a = [], 0
-        for b in ends:
-            text = []
-            for i in range(a, b, _STEP):
-                own = ids[i:min(b, i + _STEP)]
-                k = length[own]
-                text.append(data[np.repeat(begin[own] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))].tobytes())
-            out.append(b"".join(text).decode("utf-8", "replace"))
-            a = b
-        return out
-
     def join_pieces(batches):
-        data, begin = table.value
-        length, begin = np.diff(begin), begin[:-1]
         for batch in batches:
             total, i = np.cumsum(pc.fill_null(pc.list_value_length(batch[ids_col]), 0).to_numpy(zero_copy_only=False)), 0
             while i < batch.num_rows:  # some rows at a time, to bound what is held
                 j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + 2 * _STEP)))
                 rows = batch.slice(i, j - i)
                 i = j
-                texts = pa.array(texts_of(rows[ids_col], data, begin, length), pa.string())
-                yield pa.RecordBatch.from_arrays([*rows.columns, texts], [*rows.schema.names, text_col])
+                yield pa.RecordBatch.from_arrays([*rows.columns, _texts_of(rows[ids_col], table.value)], [*rows.schema.names, text_col])
 
     return encoded.mapInArrow(join_pieces, schema)

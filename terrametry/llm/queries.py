@@ -28,7 +28,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), path, decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

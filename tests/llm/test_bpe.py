@@ -22,6 +22,8 @@ def test_ids_and_texts_equal_the_library(spark, odd_docs, odd_rows, monkeypatch,
         want[i, tuple(ids), tokenizer.decode(ids, skip_special_tokens=False)] += 1
     found = bpe.decode(bpe.encode(odd_docs, PATH), PATH)
     assert Counter((r.doc_id, tuple(r.ids), r.decoded) for r in found.collect()) == want
+    at_once = bpe.encode(odd_docs, PATH, decoded="again").collect()
+    assert Counter((r.doc_id, tuple(r.ids), r.again) for r in at_once) == want
 
 
 def test_decoding_of_broken_ids(spark):
