@@ -7,11 +7,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import matches_label
+from ..session import stage
 from .latest import latest_per_key
-from .series import LOOKBACK, alert_state, counter_increase, on_grid, seconds
+from .series import (
+    LOOKBACK, SLICE_S, counter_increase, covered, run_summaries, seconds, states_of, step_after, step_before, time_slices,
+)
 
 COMPARE: dict[str, Callable] = {
     ">": operator.gt, "<": operator.lt, "==": operator.eq, "!=": operator.ne,
@@ -24,7 +27,7 @@ class Rule:
     """One alert rule.
 
     ``kind`` is ``gauge`` (value against threshold), ``count`` (number of series
-    whose value passes ``member``), ``rate`` / ``increase`` (counter growth over
+    whose value passes ``member``, zero when all are gone), ``rate`` / ``increase`` (counter growth over
     ``range_s``), ``ratio`` (metric over ``divisor``, divisor above zero),
     ``age`` (evaluation time minus the value, an epoch second, against ``threshold``;
     or no matching series within the lookback) or ``absent`` (no sample, or none for
@@ -51,6 +54,56 @@ class Rule:
         return matches_label(self.label, self.pattern, self.regex)
 
 
+@dataclass(frozen=True)
+class Progress:
+    """What an evaluation leaves for the next: all older samples, in a form that merges.
+
+    ``since`` is the time evaluated up to, ``runs`` the run summary of every rule and
+    series, ``last`` the last sample of every series that absent and age rules watch,
+    ``carry`` the tagged samples that later windows and lookbacks still reach.
+    """
+
+    since: Column
+    runs: DataFrame
+    last: DataFrame
+    carry: DataFrame
+
+
+@dataclass(frozen=True)
+class _Setting:
+    """How rules are evaluated, and the times between which."""
+
+    labels: list[str]
+    step: timedelta
+    lookback: timedelta
+    slice_s: int
+    ts: str
+    kind: T.DataType
+    as_of: Column
+    since: Column | None
+
+    @property
+    def key(self) -> list[str]:
+        return ["rule", *self.labels]
+
+    def floor(self, at: Column) -> Column:
+        return step_before(at, self.step, self.kind)
+
+    def ceil(self, at: Column) -> Column:
+        return step_after(at, self.step, self.kind)
+
+    @property
+    def stride(self) -> Column:
+        return seconds(self.step.total_seconds())
+
+    def covered(self, samples: DataFrame, series: Sequence[str]) -> DataFrame:
+        """Stretches of evaluation times that see one sample, of the times to evaluate."""
+        found = covered(samples, series, self.step, self.lookback, self.ts, slice_s=self.slice_s)
+        start = F.col("_from") if self.since is None else F.greatest(F.col("_from"), self.floor(self.since) + self.stride)
+        end = F.least(F.col("_before"), self.floor(self.as_of) + self.stride)
+        return found.withColumns({"_from": start, "_before": end}).filter(F.col("_from") < F.col("_before"))
+
+
 def _per_rule(rules: Sequence[Rule], pick: Callable[[Rule], object]) -> Column:
     chain = F
     for rule in rules:
@@ -58,93 +111,109 @@ def _per_rule(rules: Sequence[Rule], pick: Callable[[Rule], object]) -> Column:
     return chain
 
 
-def _compared(rules: Sequence[Rule], value: str = "value") -> Column:
-    return _per_rule(rules, lambda r: COMPARE[r.op](F.col(value), F.lit(float(r.threshold))))
+def _compared(rules: Sequence[Rule], value: Column | str = "value") -> Column:
+    value = F.col(value) if isinstance(value, str) else value
+    return _per_rule(rules, lambda r: COMPARE[r.op](value, F.lit(float(r.threshold))))
 
 
-def _tagged(
-    samples: DataFrame, choices: Sequence[tuple[str, Column, Column]], metric: str
-) -> DataFrame:
-    """Samples once per rule they belong to, as ``_tag``.
+def tag(samples: DataFrame, rules: Sequence[Rule], labels: Sequence[str], metric: str = "metric", ts: str = "ts") -> DataFrame:
+    """Samples once for each rule they belong to: ``(rule, kind, upper, *labels, ts, value)``.
 
-    ``choices`` are (metric, condition, tag). The tags of a sample are a short
-    list per metric, so no rule table is joined and other metrics are not read.
+    The tags of a sample are a short list for its metric, so no rule table is
+    joined and other metrics are not read. ``upper`` is false for a ratio's divisor.
     """
     by_metric: dict[str, list[Column]] = {}
-    for name, condition, tag in choices:
-        by_metric.setdefault(name, []).append(F.when(condition, tag))
+    for rule in rules:
+        for name, upper in ((rule.metric, True), (rule.divisor, False)):
+            if name is not None:
+                one = F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.kind).alias("kind"), F.lit(upper).alias("upper"))
+                by_metric.setdefault(name, []).append(F.when(rule.selects(), one))
     lists = F
     for name, tags in by_metric.items():
         lists = lists.when(F.col(metric) == name, F.array(*tags))
     return (
         samples.filter(F.col(metric).isin(*sorted(by_metric)))
-        .withColumn("_tag", F.explode(lists))
-        .filter(F.col("_tag").isNotNull())
+        .withColumn("_tag", F.explode(lists)).filter(F.col("_tag").isNotNull())
+        .select("_tag.rule", "_tag.kind", "_tag.upper", *labels, ts, "value")
     )
 
 
-def _by_rule(samples: DataFrame, rules: Sequence[Rule], metric: str) -> DataFrame:
-    choices = [(rule.metric, rule.selects(), F.lit(rule.name)) for rule in rules]
-    return _tagged(samples, choices, metric).withColumnRenamed("_tag", "rule")
-
-
-def _gauge(samples, rules, labels, grid, metric, ts):
-    return _by_rule(samples, rules, metric).select(
-        "rule", *labels, ts, F.col("value").cast("double").alias("value"),
-        _compared(rules).alias("condition"),
-    )
+def _gauge(tagged, rules, how: _Setting, earlier):
+    return tagged.select(
+        *how.key, how.ts, F.col(how.ts).alias("until"), F.col("value").cast("double").alias("value"),
+        _compared(rules).alias("condition"))
 
 
-def _growth(samples, rules, labels, grid, metric, ts):
+def _counter(tagged, rules, how: _Setting, earlier):
     """All counter rules in one pass, each with its own window."""
     grown = counter_increase(
-        _by_rule(samples, rules, metric).select("rule", *labels, ts, "value"),
-        ["rule", *labels], ts, "value", max(rule.range_s for rule in rules),
+        tagged.select(*how.key, how.ts, "value"), how.key, how.ts, "value", max(rule.range_s for rule in rules),
         reach=_per_rule(rules, lambda r: seconds(r.range_s)),
     )
     per = _per_rule(rules, lambda r: F.lit(float(r.range_s if r.kind == "rate" else 1)))
-    return grown.withColumn("value", F.col("increase") / per).select(
-        "rule", *labels, ts, "value", _compared(rules).alias("condition")
-    )
-
-
-def _ratio(samples, rules, labels, grid, metric, ts):
-    choices = []
-    for rule in rules:
-        for name, upper in ((rule.metric, True), (rule.divisor, False)):
-            side = F.struct(F.lit(rule.name).alias("rule"), F.lit(upper).alias("upper"))
-            choices.append((name, rule.selects(), side))
-    both = _tagged(samples, choices, metric).select(*labels, ts, "value", "_tag.rule", "_tag.upper")
-    instants = on_grid(both, ["rule", *labels, "upper"], ts=ts, **grid)
-    paired = instants.groupBy("rule", *labels, ts).agg(
-        F.max(F.when(F.col("upper"), F.col("value"))).alias("_upper"),
-        F.max(F.when(~F.col("upper"), F.col("value"))).alias("_lower"),
-    ).filter(F.col("_upper").isNotNull() & F.col("_lower").isNotNull())
-    return paired.select(
-        "rule", *labels, ts,
-        F.try_divide(F.col("_upper").cast("double"), F.col("_lower").cast("double")).alias("value"),
-        (F.col("_lower") > 0).alias("_positive"),
-    ).select("rule", *labels, ts, "value",
-             (F.col("_positive") & _compared(rules)).alias("condition"))
-
-
-def _count(samples, rules, labels, grid, metric, ts):
+    return _gauge(grown.withColumn("value", F.col("increase") / per), rules, how, earlier)
+
+
+def _ratio(tagged, rules, how: _Setting, earlier):
+    """Sweep over the stretches of both sides: from one change to the next, both values stay."""
+    sides = how.covered(tagged, [*how.key, "upper"])
+    closes = F.struct(F.col("_before").alias("at"), F.lit(False).alias("open"), F.lit(None).cast("double").alias("value"))
+    opens = F.struct(F.col("_from").alias("at"), F.lit(True).alias("open"), F.col("value").cast("double").alias("value"))
+    changes = sides.withColumn("e", F.explode(F.array(opens, closes))).select(*how.key, "_slice", "upper", "e.*")
+    order = Window.partitionBy(*how.key, "_slice").orderBy("at", "open")
+    side = lambda upper: F.last(F.when(F.col("upper") == upper, F.struct("value")), True).over(
+        order.rowsBetween(Window.unboundedPreceding, 0))["value"]
+    # of several changes at one time the last row knows all
+    both = changes.select(*how.key, F.col("at").alias(how.ts), F.lead("at").over(order).alias("_next"),
+                          side(True).alias("_upper"), side(False).alias("_lower")).filter(
+        (F.col(how.ts) < F.col("_next")) & F.col("_upper").isNotNull() & F.col("_lower").isNotNull())
+    both = both.withColumns({"value": F.try_divide("_upper", "_lower"), "until": F.col("_next") - how.stride})
+    return both.select(*how.key, how.ts, "until", "value", ((F.col("_lower") > 0) & _compared(rules)).alias("condition"))
+
+
+def _count(tagged, rules, how: _Setting, earlier):
+    """Sweep over presence: a stretch that passes adds one where it begins and takes one
+    where it ends, and the running sum is the count from each change to the next.
+
+    A rule counts from the first evaluation that saw any of its series; from then on
+    it counts zero while all are gone. Sums go by slice, then over the slices.
+    """
     passes = _per_rule(rules, lambda r: COMPARE[r.member[0]](F.col("value"), F.lit(r.member[1])))
-    counted = (
-        on_grid(_by_rule(samples, rules, metric), ["rule", *labels], ts=ts, **grid)
-        .groupBy("rule", ts).agg(F.count_if(passes).cast("double").alias("value"))
-    )
+    one = F.coalesce(passes, F.lit(False)).cast("long")
+    ends = F.array(F.struct(F.col("_from").alias("at"), one.alias("n")), F.struct(F.col("_before").alias("at"), (-one).alias("n")))
+    changes = how.covered(tagged, how.key).withColumn("e", F.explode(ends)).select("rule", "e.*")
+    if earlier is not None:
+        counted = earlier.filter(F.col("rule").isin(*[r.name for r in rules])).select("rule")
+        changes = changes.unionByName(counted.select("rule", (how.floor(how.since) + how.stride).alias("at"), F.lit(0).cast("long").alias("n")))
+    changes = time_slices(changes.groupBy("rule", "at").agg(F.sum("n").alias("n")), "at", how.slice_s).drop("_own")
+    over = Window.partitionBy("rule").orderBy("_slice")
+    slices = changes.groupBy("rule", "_slice").agg(F.sum("n").alias("_n"), F.min("at").alias("_at")).select(
+        "rule", "_slice", (F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"),
+        F.lead("_at").over(over).alias("_next"))
+    inside = Window.partitionBy("rule", "_slice").orderBy("at")
+    counted = changes.join(slices, ["rule", "_slice"]).select(
+        "rule", F.col("at").alias(how.ts),
+        (F.coalesce(F.lead("at").over(inside), F.col("_next"), how.floor(how.as_of) + how.stride) - how.stride).alias("until"),
+        (F.col("_before") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))).cast("double").alias("value"))
     return counted.select(
-        "rule", *[F.lit("").alias(name) for name in labels], ts, "value",
-        _compared(rules).alias("condition"),
-    )
-
-
-def _age(samples, rules, labels, grid, metric, ts):
-    instants = on_grid(_by_rule(samples, rules, metric), ["rule", *labels], ts=ts, **grid)
-    now = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
-    aged = instants.withColumn("value", now - F.col("value").cast("double"))
-    return aged.select("rule", *labels, ts, "value", _compared(rules).alias("condition"))
+        "rule", *[F.lit("").alias(name) for name in how.labels], how.ts, "until", "value", _compared(rules).alias("condition"))
+
+
+def _age(tagged, rules, how: _Setting, earlier):
+    """Age grows with the evaluation time alone, so a stretch is cut at most where it crosses the threshold."""
+    limit = F.col("value").cast("double") + _per_rule(rules, lambda r: F.lit(float(r.threshold)))
+    epoch = lambda at: F.unix_micros(at.cast("timestamp"))
+    low, high = epoch(F.col("_from")) - 1, epoch(F.col("_before"))
+    crossed = F.greatest(low.cast("double"), F.least(high.cast("double"), F.coalesce(limit * 1_000_000, low.cast("double"))))
+    found = how.covered(tagged, how.key).withColumn("_cross", F.timestamp_micros(F.round(crossed).cast("long")).cast(how.kind))
+    within = lambda at: F.greatest(F.col("_from"), F.least(F.col("_before"), at))
+    bounds = [F.col("_from"), within(how.ceil(F.col("_cross"))), within(how.floor(F.col("_cross")) + how.stride), F.col("_before")]
+    pieces = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in zip(bounds, bounds[1:])])
+    cut = found.withColumn("_bounds", pieces).withColumn("p", F.explode("_bounds")).filter("p.a < p.b")
+    age = lambda at: epoch(at) / 1_000_000 - F.col("value").cast("double")
+    until = F.col("p.b") - how.stride
+    return cut.select(*how.key, F.col("p.a").alias(how.ts), until.alias("until"), age(until).alias("value"),
+                      _compared(rules, age(F.col("p.a"))).alias("condition"))
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -155,21 +224,20 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 EVALUATORS = {
-    "gauge": _gauge, "rate": _growth, "increase": _growth, "ratio": _ratio, "count": _count, "age": _age,
+    "gauge": _gauge, "rate": _counter, "increase": _counter, "ratio": _ratio, "count": _count, "age": _age,
 }
 
 
-def _silent(samples, rules, labels, as_of, metric, ts, expected) -> DataFrame:
+def _silent(last, rules, labels, as_of, expected) -> DataFrame:
     """Absent or stale series. Silence is true from ``last sample + threshold``
     on, so the hold follows from the last sample alone."""
-    found = _by_rule(samples, rules, metric)
-    last = found.groupBy("rule", *labels).agg(F.max(ts).alias("_last"))
+    last = last.filter(F.col("rule").isin(*[r.name for r in rules]))
     if expected is None:
-        waiting = samples.sparkSession.createDataFrame(
+        waiting = last.sparkSession.createDataFrame(
             [(r.name, *[r.pattern if n == r.label else "" for n in labels]) for r in rules],
             ", ".join(f"`{n}` string" for n in ("rule", *labels)),
         )
-        seen = found.select("rule").distinct()  # at most one row per rule
+        seen = last.select("rule").distinct()  # at most one row per rule
         waiting = waiting.join(F.broadcast(seen), "rule", "left_anti")
     else:
         waiting = expected.select("rule", *labels)
@@ -190,10 +258,10 @@ def _silent(samples, rules, labels, as_of, metric, ts, expected) -> DataFrame:
     )
 
 
-def _unseen(samples, rules, labels, as_of, lookback, metric, ts) -> DataFrame:
+def _unseen(last, rules, labels, as_of, lookback) -> DataFrame:
     """Age rules that no series matches within the lookback, under the labels they name."""
-    last = _by_rule(samples, rules, metric).groupBy("rule").agg(F.max(ts).alias("_last"))
-    named = samples.sparkSession.createDataFrame(
+    last = last.groupBy("rule").agg(F.max("_last").alias("_last"))
+    named = last.sparkSession.createDataFrame(
         [(r.name, *[r.pattern.rstrip("$") if n == r.label else "" for n in labels]) for r in rules],
         ", ".join(f"`{n}` string" for n in ("rule", *labels)),
     )
@@ -205,58 +273,94 @@ def _unseen(samples, rules, labels, as_of, lookback, metric, ts) -> DataFrame:
     )
 
 
-def evaluate_rules(
-    samples: DataFrame, rules: Sequence[Rule], as_of: datetime | Column,
-    labels: Sequence[str] = ("job", "instance", "name"),
-    step: timedelta = timedelta(seconds=15), metric: str = "metric", ts: str = "ts",
-    staleness_s: float = 300, slice_s: int = 21_600, expected: DataFrame | None = None,
-    lookback: timedelta = LOOKBACK,
-) -> DataFrame:
-    """State of every rule and series at ``as_of``.
+def _last_seen(tagged: DataFrame, key: Sequence[str], ts: str, earlier: DataFrame | None) -> DataFrame:
+    last = tagged.filter(F.col("kind").isin("absent", "age")).groupBy(*key).agg(F.max(ts).alias("_last"))
+    if earlier is None:
+        return last
+    return last.unionByName(earlier).groupBy(*key).agg(F.max("_last").alias("_last"))
 
-    ``samples`` carry the labels as columns. Count, ratio and age rules see each
-    series' latest sample, none older than ``lookback``, at every multiple of
-    ``step``. ``expected`` may list the series
-    ``(rule, *labels)`` that absent rules wait for; without it a rule is absent
-    when nothing matches it. Each kind of rule is one pass over its own metrics,
-    whatever the number of rules.
+
+def advance(
+    tagged: DataFrame, rules: Sequence[Rule], as_of: Column, labels: Sequence[str],
+    step: timedelta = timedelta(seconds=15), ts: str = "ts", staleness_s: float = 300,
+    slice_s: int = SLICE_S, lookback: timedelta = LOOKBACK, before: Progress | None = None,
+) -> Progress:
+    """Evaluate the rules over :func:`tag`-ged samples, up to ``as_of``.
+
+    With ``before``, ``tagged`` are its ``carry`` and the samples after its ``since``;
+    the result is that of all samples, older ones are not read.
     """
-    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    labels = list(labels)
-    history = samples.filter(F.col(ts) <= as_of)
-    by_evaluator: dict[Callable, list[Rule]] = {}
+    since = None if before is None else before.since
+    how = _Setting(list(labels), step, lookback, slice_s, ts, tagged.schema[ts].dataType, as_of, since)
+    timed: dict[Callable, list[Rule]] = {}
     for rule in rules:
         if rule.kind != "absent":
-            by_evaluator.setdefault(EVALUATORS[rule.kind], []).append(rule)
+            timed.setdefault(EVALUATORS[rule.kind], []).append(rule)
+    earlier = None if before is None else before.runs
+    parts = []
+    for build, chosen in timed.items():
+        mine = tagged.filter(F.col("kind").isin(*sorted({r.kind for r in chosen})))
+        found = build(mine, chosen, how, earlier).filter(F.col(ts) <= as_of)
+        parts.append(found if since is None else found.filter(F.col(ts) > since))
+    runs = None
+    if parts:
+        runs = run_summaries(_union(parts), how.key, F.col("condition"), ts, "value", staleness_s, slice_s, "until", earlier)
+    reach = _per_rule(rules, lambda r: seconds(max(lookback.total_seconds(), r.range_s if r.kind in ("rate", "increase") else 0)))
+    carry = tagged.filter(~F.col("kind").isin("absent", "gauge") & (F.col(ts) > as_of - reach))
+    return Progress(as_of, runs, _last_seen(tagged, how.key, ts, None if before is None else before.last), carry)
+
+
+def rule_states(
+    now: Progress, rules: Sequence[Rule], labels: Sequence[str], ts: str = "ts", staleness_s: float = 300,
+    lookback: timedelta = LOOKBACK, expected: DataFrame | None = None,
+) -> DataFrame:
+    """State of every rule and series at the time an evaluation went up to."""
     states = []
-    grid = {"step": step, "lookback": lookback, "slice_s": slice_s}
-    if by_evaluator:
-        conditions = _union([
-            build(history, chosen, labels, grid, metric, ts).filter(F.col(ts) <= as_of)
-            for build, chosen in by_evaluator.items()
-        ])
-        timed = [rule for rule in rules if rule.kind != "absent"]
-        state = alert_state(
-            conditions, ["rule", *labels], F.col("condition"),
-            _per_rule(timed, lambda r: F.lit(float(r.hold_s))), as_of, ts, "value",
-            staleness_s, slice_s,
-        )
+    timed = [rule for rule in rules if rule.kind != "absent"]
+    if timed:
+        state = states_of(now.runs, ["rule", *labels], _per_rule(timed, lambda r: F.lit(float(r.hold_s))), now.since, ts, "value", staleness_s)
         counting = [r for r in timed if r.kind == "count" and COMPARE[r.op](0.0, r.threshold)]
         if counting:
             state = _with_zero_counts(state, counting, labels, ts)
         states.append(state.drop(ts))
     silent = [rule for rule in rules if rule.kind == "absent"]
     if silent:
-        states.append(_silent(history, silent, labels, as_of, metric, ts, expected))
+        states.append(_silent(now.last, silent, labels, now.since, expected))
     aged = [rule for rule in rules if rule.kind == "age"]
     if aged:
-        states.append(_unseen(history, aged, labels, as_of, lookback, metric, ts))
+        states.append(_unseen(now.last, aged, labels, now.since, lookback))
     severity = _per_rule(rules, lambda r: F.lit(r.severity))
     return _union(states).select(
         "rule", severity.alias("severity"), *labels, "value", "active_since", "state"
     )
 
 
+def evaluate_rules(
+    samples: DataFrame, rules: Sequence[Rule], as_of: datetime | Column,
+    labels: Sequence[str] = ("job", "instance", "name"),
+    step: timedelta = timedelta(seconds=15), metric: str = "metric", ts: str = "ts",
+    staleness_s: float = 300, slice_s: int = SLICE_S, expected: DataFrame | None = None,
+    lookback: timedelta = LOOKBACK,
+) -> DataFrame:
+    """State of every rule and series at ``as_of``.
+
+    ``samples`` carry the labels as columns; a NULL label is a label like any other.
+    Count, ratio and age rules see each series' latest sample, none older than
+    ``lookback``, at every multiple of ``step``; they work on stretches between
+    changes, not on evaluation times. ``expected`` may list the series
+    ``(rule, *labels)`` that absent rules wait for; without it a rule is absent
+    when nothing matches it. Samples are read once: those that rules select are
+    written to the scratch folder in order of their kind, and each kind of rule
+    reads its own.
+    """
+    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    labels = list(labels)
+    history = samples.filter(F.col(ts) <= as_of)
+    tagged = stage(tag(history, rules, labels, metric, ts).sortWithinPartitions("kind", "rule"), "tagged")
+    now = advance(tagged, rules, as_of, labels, step, ts, staleness_s, slice_s, lookback)
+    return rule_states(now, rules, labels, ts, staleness_s, lookback, expected)
+
+
 def _with_zero_counts(state: DataFrame, rules: Sequence[Rule], labels, ts: str) -> DataFrame:
     """A count rule that matched no sample at all counts zero, and fires."""
     zero = state.sparkSession.createDataFrame([(r.name,) for r in rules], "rule string").select(

@@ -57,6 +57,13 @@ def counter_increase_1h(spark, sf_dir):
     return grown.withColumn("value", F.col("value").cast("double"))
 
 
+@query(_increase_sql("event_type", 1_209_600, 1, "increase"))
+def counter_increase_14d(spark, sf_dir):
+    """A window of 56 slices, by the slices' summaries."""
+    grown = counter_increase(_counters(spark, sf_dir), ["metric"], range_s=1_209_600)
+    return grown.withColumn("value", F.col("value").cast("double"))
+
+
 @query(f"""
 SELECT event_type AS metric, user_id::varchar AS instance, max(ts) AS ts, arg_max(value, ts) AS value
 FROM events WHERE ts <= TIMESTAMP '{AS_OF}' AND ts > TIMESTAMP '{AS_OF}' - INTERVAL 5 DAY
@@ -262,6 +269,31 @@ def rule_states(spark, sf_dir):
     )
 
 
+LATER = "2024-02-02 00:00:00"
+COUNTED = [Rule(f"Few_{kind}", "count", kind, "<", 4, 7200, member=(">", 10.0))
+           for kind in ("view", "click", "purchase", "signup", "error")]
+
+
+@query(f"""WITH times AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '{LATER}', INTERVAL 1 HOUR)) AS g),
+kinds AS (SELECT event_type, min(ts) AS first_ts FROM events WHERE ts <= TIMESTAMP '{LATER}'
+          AND event_type IN ('view', 'click', 'purchase', 'signup', 'error') GROUP BY 1),
+seen AS (SELECT event_type, user_id, g, arg_max(value, ts) AS v FROM times JOIN events ON ts <= g AND ts > g - INTERVAL 3 HOUR
+         GROUP BY ALL),
+counts AS (SELECT k.event_type, t.g AS ts, count(s.v) FILTER (s.v > 10)::double AS n
+           FROM kinds k JOIN times t ON t.g >= first_ts LEFT JOIN seen s ON s.event_type = k.event_type AND s.g = t.g GROUP BY 1, 2),
+runs AS (SELECT *, max(CASE WHEN n >= 4 THEN ts END) OVER (PARTITION BY event_type) AS healthy FROM counts),
+since AS (SELECT event_type, min(CASE WHEN n < 4 AND (healthy IS NULL OR ts > healthy) THEN ts END) AS active_since,
+                 arg_max(n, ts) AS value FROM runs GROUP BY 1)
+SELECT 'Few_' || event_type AS rule, 'warning' AS severity, '' AS instance, value, active_since,
+       CASE WHEN active_since IS NULL THEN 'inactive'
+            WHEN TIMESTAMP '{LATER}' - active_since >= INTERVAL 2 HOUR THEN 'firing' ELSE 'pending' END AS state FROM since""")
+def vanished_counts(spark, sf_dir):
+    """Counts after the last event: series that have all gone count zero, and the hold runs from then."""
+    return evaluate_rules(
+        roles.samples(spark, sf_dir), COUNTED, F.lit(LATER).cast("timestamp_ntz"), ["instance"], step=timedelta(hours=1),
+        lookback=timedelta(hours=3), staleness_s=7200)
+
+
 @query(RULE_STATES_SQL.replace(f"TIMESTAMP '{AS_OF}'", "(SELECT max(ts) FROM events)"))
 def rules_stream(spark, sf_dir):
     """The same rules over the samples as a stream of small batches; the states after the last."""

@@ -1,7 +1,11 @@
 import datetime as dt
+import itertools
+import random
+import shutil
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from terrametry.operators.alerts import Rule, evaluate_rules, reference_rules
 from terrametry.operators.series import promote_labels
@@ -156,3 +160,123 @@ def test_rules_over_a_stream(spark, tmp_path, rows):
     sink(second, 1)  # a replay
     assert states(spark.read.parquet(f"{out}/batch_id=1")) == want
     assert spark.read.parquet(history).count() == whole.count()
+
+
+KINDS = [
+    Rule("High", "gauge", "g", ">", 5, 60), Rule("Fast", "rate", "c", ">", 0.9, 60, range_s=120),
+    Rule("Grown", "increase", "c", ">", 100, 30, range_s=90), Rule("Share", "ratio", "g", ">", 0.5, 60, divisor="c"),
+    Rule("Few", "count", "g", "<", 2, 60, member=(">", 3.0)), Rule("None", "count", "never", "<", 1, 60),
+    Rule("Old", "age", "seen", ">", 60, 60), Rule("Gone", "absent", "seen", ">", 90, 30),
+]
+
+
+def random_samples(spark, seed, until):
+    rng = random.Random(seed)
+    points = []
+    for metric in ("g", "c", "seen"):
+        for name in "abc":
+            series, t, value = [], rng.randint(0, 60), 0
+            while t < until:
+                if rng.random() < 0.1:
+                    t += rng.randint(100, 900)  # gone for a while
+                value = rng.randint(0, 9) if metric == "g" else (0 if rng.random() < 0.1 else value + rng.randint(0, 40))
+                series.append((t, EPOCH + t - rng.choice([0, 30, 90]) if metric == "seen" else value))
+                t += rng.choice([10, 15, 20, 60])
+            points.append((metric, {"name": name}, series))
+    return samples(spark, points)
+
+
+def seen(df):
+    return sorted((r.rule, r.name, r.state, r.active_since, r.value) for r in df.collect())
+
+
+@pytest.mark.parametrize("seed,cuts", [(1, (300, 320, 1500)), (2, (900, 1800, 2600)), (3, (70, 3000))])
+def test_progress_merges_to_the_states_of_all_samples(spark, tmp_path, seed, cuts):
+    """Batch by batch, each without the samples of those before."""
+    df = random_samples(spark, seed, 3600)
+    history, out = str(tmp_path / "history"), str(tmp_path / "states")
+    sink = rule_sink(history, out, KINDS, LABELS, slice_s=600)
+    edges = [0, *cuts, 4000]
+    for k, (lo, hi) in enumerate(itertools.pairwise(edges)):
+        sink(df.filter((F.col("ts") >= at(lo)) & (F.col("ts") < at(hi))), k)
+        so_far = df.filter(F.col("ts") < at(hi))
+        as_of = so_far.agg(F.max("ts")).first()[0]
+        want = seen(evaluate_rules(so_far, KINDS, as_of, LABELS, slice_s=600))
+        assert seen(spark.read.parquet(f"{out}/batch_id={k}")) == want
+        shutil.rmtree(f"{history}/batch_id={k}")  # later batches must not need it
+        carried = spark.read.parquet(f"{out}-progress/carry/batch_id={k}")
+        assert carried.filter(F.col("ts") <= F.lit(as_of) - F.expr("INTERVAL 5 MINUTES")).isEmpty()
+        assert spark.read.parquet(f"{out}-progress/runs/batch_id={k}").count() <= 3 * len(KINDS)
+
+
+def test_late_samples_are_evaluated_again(spark, tmp_path):
+    df = random_samples(spark, 4, 2400)
+    history, out = str(tmp_path / "history"), str(tmp_path / "states")
+    sink = rule_sink(history, out, KINDS, LABELS)
+    late = (F.hash("ts", "name") % 5 == 0) & (F.col("ts") > at(700))
+    for k, (lo, hi) in enumerate([(0, 600), (600, 1500), (1500, 9000)]):
+        sink(df.filter((F.col("ts") >= at(lo)) & (F.col("ts") < at(hi)) & ~late), k)
+    sink(df.filter(late), 3)
+    as_of = df.agg(F.max("ts")).first()[0]
+    assert seen(spark.read.parquet(f"{out}/batch_id=3")) == seen(evaluate_rules(df, KINDS, as_of, LABELS))
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_sweeps_equal_a_walk_over_evaluation_times(spark, seed):
+    """Count, ratio and age against one look at every multiple of the step."""
+    df = random_samples(spark, seed, 1800)
+    by_series = {}
+    for r in df.collect():
+        by_series.setdefault((r.metric, r.name), []).append((int((r.ts - START).total_seconds()), r.value))
+    def value(metric, name, t):
+        live = [(s, v) for s, v in by_series.get((metric, name), []) if s <= t < s + 300]
+        return max(live)[1] if live else None
+    rules = [r for r in KINDS if r.kind in ("count", "ratio", "age")]
+    got = {(r.rule, r.name): (r.state, r.active_since) for r in evaluate_rules(df, rules, at(1800), LABELS, slice_s=300).collect()}
+    def walk(condition, first=0):
+        since, last = None, None
+        for t in range(first, 1801, 15):
+            on = condition(t)
+            if on is None:
+                continue
+            if on and (since is None or t - last > 300):
+                since = t
+            last, since = t, since if on else None
+        live = last is not None and last >= 1500
+        return ("inactive", None) if since is None or not live else ("firing" if last - since >= 60 else "pending", at(since))
+    start = min(-(-s // 15) * 15 for (m, _), v in by_series.items() if m == "g" for s, _ in v)
+    count = lambda t: sum((value("g", n, t) or 0) > 3 for n in "abc")
+    assert got["Few", ""] == walk(lambda t: count(t) < 2, start)
+    assert got["None", ""] == ("firing", None)
+    for n in "abc":
+        def share(t, n=n):
+            up, low = value("g", n, t), value("c", n, t)
+            return None if up is None or low is None else low > 0 and up / low > 0.5
+        if ("Share", n) in got:
+            assert got["Share", n] == walk(share)
+        old = walk(lambda t, n=n: None if value("seen", n, t) is None else EPOCH + t - value("seen", n, t) > 60)
+        assert got["Old", n] == old
+
+
+def test_a_count_whose_series_have_all_gone_is_zero(spark):
+    """After a healthy start the outage shows: the hold counts from when the last sample expired."""
+    df = samples(spark, [("up", {"job": "j", "instance": "a"}, every(15, 600, 1))])
+    rule = Rule("Missing", "count", "up", "<", 1, 60)
+    assert states(evaluate_rules(df, [rule], at(600), LABELS)) == {("Missing", ""): ("inactive", None)}
+    assert states(evaluate_rules(df, [rule], at(930), LABELS)) == {("Missing", ""): ("pending", at(900))}
+    assert states(evaluate_rules(df, [rule], at(4200), LABELS)) == {("Missing", ""): ("firing", at(900))}
+
+
+def test_null_labels_are_labels(spark):
+    df = samples(spark, [("g", {"name": "a"}, every(15, 300, 9)), ("c", {"name": "a"}, every(15, 300, lambda t: t))])
+    df = df.withColumn("name", F.lit(None).cast("string"))
+    got = evaluate_rules(df, KINDS[:5], at(300), LABELS, slice_s=60).collect()
+    assert {(r.rule, r.name, r.state) for r in got if r.rule != "Few"} == {
+        ("High", None, "firing"), ("Fast", None, "firing"), ("Grown", None, "inactive"), ("Share", None, "inactive")}
+
+
+def test_rules_read_samples_once_and_make_no_row_for_each_step(spark):
+    df = samples(spark, [("g", {"name": "a"}, [(0, 1)]), ("c", {"name": "a"}, [(0, 1)]), ("seen", {"name": "a"}, [(0, 1)])])
+    out = evaluate_rules(df, KINDS, at(300), LABELS, step=timedelta(seconds=1))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan and "LocalRelation [ts" not in plan and "LogicalRDD [ts" not in plan

@@ -48,7 +48,7 @@ def brute_increase(points, range_s):
     return out
 
 
-@pytest.mark.parametrize("seed,range_s,slice_s", [(1, 300, None), (2, 900, 900), (3, 60, 7200)])
+@pytest.mark.parametrize("seed,range_s,slice_s", [(1, 300, None), (2, 900, 900), (3, 60, 7200), (4, 2000, 300), (5, 5000, 60)])
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
 def test_increase_against_brute_force(spark, seed, range_s, slice_s, kind):
     points = random_points(seed)
