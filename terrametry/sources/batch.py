@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import stage
 
@@ -25,7 +25,7 @@ def read_delimited(
     Without ``schema`` the names come from the header and every column is a
     string. A given schema is matched against the header, not just applied by
     position. ``multiline`` keeps line breaks inside quotes, at the price of one
-    task per file: stage such input once with :func:`stage_delimited`.
+    task per file: :func:`read_multiline` reads one file in many tasks.
     """
     names = {"latin1": "iso-8859-1", "latin-1": "iso-8859-1"}
     reader = spark.read.options(
@@ -37,6 +37,76 @@ def read_delimited(
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+def _inside(quotes: Column) -> Column:
+    """Whether so many quotes leave a quoted value open."""
+    return F.pmod(quotes, F.lit(2)) == 1
+
+
+def _quoted_lines(spark: SparkSession, path: str | Sequence[str], encoding: str, escape: str) -> DataFrame:
+    """Lines by file and block, with the quotes before and in each since its block began."""
+    text = spark.read.options(lineSep="\n", encoding=encoding).text(path if isinstance(path, str) else list(path))
+    value = F.col("value")
+    plain = value if escape == '"' else F.regexp_replace(value, r"\\.", "")
+    lines = text.select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        (F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))).alias("quotes"))
+    so_far = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn("after", F.sum("quotes").over(so_far)).withColumn("before", F.col("after") - F.col("quotes"))
+
+
+def read_multiline(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None, sep: str = ",",
+    encoding: str = "utf-8", header: bool = True, escape: str = '"', null_value: str = "",
+) -> DataFrame:
+    """Delimited text whose quoted values hold line breaks, one file read by many tasks.
+
+    A line begins inside a quoted value if an odd number of quotes precede it in its
+    file. Quotes are counted per line and per file block; a running sum over a file's blocks, one
+    row each, tells how each block begins. Lines that are whole records are parsed where they are; only
+    the pieces of longer records are brought together.
+
+    Quotes must stand around values alone, doubled or escaped inside, as every writer
+    of such text puts them. Line breaks inside values stay as they are, and a carriage return
+    before the break that ends a record is dropped. ``null_value`` reads as NULL; with another
+    one than the default an empty value is the empty string. Names come from the
+    header, or a given schema's if there is none; a schema's columns are
+    found by name in the header. Records that do not parse give NULLs; empty lines are no records.
+    """
+    first = path if isinstance(path, str) else list(path)
+    named = spark.read.options(sep=sep, header=header, encoding=encoding, quote='"', escape=escape, inferSchema=False).csv(first).columns
+    names = named if header or schema is None else schema.names
+    fields = StructType([StructField(n, StringType() if schema is None or n not in schema.names else schema[n].dataType) for n in names])
+    lines = _quoted_lines(spark, path, encoding, escape)
+    home = ("file", "block")
+    starts = lambda open_: F.count_if(_inside(F.col("before")) == F.lit(open_)).alias(f"starts_{int(open_)}")
+    blocks = lines.groupBy(*home).agg(F.sum("quotes").alias("quotes"), starts(False), starts(True))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("open", F.coalesce(_inside(F.sum("quotes").over(earlier)), F.lit(False))).withColumn(
+        "starts", F.when(F.col("open"), F.col("starts_1")).otherwise(F.col("starts_0")))
+    begun = F.when(F.col("starts") > 0, F.struct(F.col("block").alias("home"), F.col("starts").alias("number")))
+    blocks = blocks.select(*home, "open", F.last(begun, True).over(earlier).alias("begun"))
+    opened = F.col("open").cast("int")
+    placed = lines.join(blocks, list(home)).withColumns({
+        "starts": ~_inside(F.col("before") + opened), "ends": ~_inside(F.col("after") + opened)})
+    in_block = Window.partitionBy(*home).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("number", F.count_if("starts").over(in_block)).select(
+        "file", "block", "line", "value", (F.col("starts") & F.col("ends")).alias("whole"),
+        F.when(F.col("number") > 0, F.struct(F.col("block").alias("home"), "number")).otherwise(F.col("begun")).alias("record"))
+    whole = placed.filter("whole").select("record", "value")
+    pieces = placed.filter(~F.col("whole")).groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"))
+    records = whole.unionByName(pieces.select("record", F.array_join(F.col("lines.value"), "\n").alias("value")))
+    if header:
+        records = records.filter((F.col("record.home") > 0) | (F.col("record.number") > 1))
+    options = {"sep": sep, "quote": '"', "escape": escape, "multiLine": "true", "lineSep": "\n", "nullValue": null_value,
+               "emptyValue": "", "mode": "PERMISSIVE"}
+    ended = F.regexp_replace("value", r"\r\z", "")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parsed = records.filter(ended != "").select(F.from_csv(ended, columns, options).alias("r"))
+    return parsed.select("r.*").select(*(schema.names if schema is not None else names))
+
+
 def stage_delimited(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Parse text once into splittable columnar files for all later scans."""
     return stage(df.select(*columns) if columns else df, "delimited")

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -12,7 +13,7 @@ from terrametry.schemas import (
 )
 from terrametry.sources import (
     local_rows, observation_pull, preview, profile_schema, read_delimited, read_documents,
-    stage_delimited,
+    read_multiline, stage_delimited,
 )
 
 
@@ -41,6 +42,44 @@ def test_multiline_text(spark, tmp_path, rows):
     assert stage_delimited(df, ["id"]).columns == ["id"]
 
 
+@pytest.fixture
+def small_blocks(spark):
+    """Files are cut every 300 bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for name, value in zip(names, ("300", "0", "1")):
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("escape", ['"', "\\"])
+def test_one_multiline_file_is_read_by_many_tasks(spark, tmp_path, rows, small_blocks, escape):
+    rng = random.Random(9)
+    words = ['"', ",", "\n", "\r\n", "a", "é", "text ", "\n\n", '""', " x", "\\N"]
+    data = [(str(i), "".join(rng.choices(words, k=rng.choice([0, 1, 5, 30, 300])))) for i in range(150)]
+    data[7] = ("7", None)
+    quoted = lambda v: "\\N" if v is None else '"' + v.replace("\\", "\\\\" if escape != '"' else "\\").replace('"', escape + '"') + '"'
+    for part in range(2):
+        lines = ["id,t"] + [f"{i},{quoted(t)}" for i, t in data[part::2]]
+        end = "\r\n" if part else "\n"
+        (tmp_path / f"{part}.csv").write_bytes((end.join(lines) + end * part).encode())
+    found = read_multiline(spark, str(tmp_path), escape=escape, null_value="\\N")
+    want = [(i, None if t == "\\N" else t) for i, t in data]
+    assert rows(found) == sorted(want, key=repr)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+    assert rows(read_multiline(spark, str(tmp_path), struct(t=STRING, id=INT), escape=escape, null_value="\\N")) == sorted(
+        ((t, int(i)) for i, t in want), key=repr)
+
+
+def test_multiline_reader_on_plain_and_empty_text(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('id,t\n1,"two\nlines, ""quoted"""\n\n2,plain\n')
+    assert rows(read_multiline(spark, str(tmp_path / "a.csv"))) == [("1", 'two\nlines, "quoted"'), ("2", "plain")]
+    (tmp_path / "b.csv").write_text("id,t\n")
+    assert rows(read_multiline(spark, str(tmp_path / "b.csv"))) == []
+
+
 def test_profile(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 3)], "s string, n int")
     assert rows(profile_schema(df, exact=True)) == [("n", "int", 3, 1, 2), ("s", "string", 3, 2 - 1, 1)]
