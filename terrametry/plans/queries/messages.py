@@ -13,7 +13,7 @@ from ...streaming.jobs import run_batches
 from ...streaming.messages import (
     clean_messages, decode, parse_messages, publish, route, tallies, to_messages,
 )
-from ...streaming.upsert import upsert_sink
+from ...streaming.upsert import read_keyed, upsert_sink
 from .. import roles
 from ..energy import ENERGY_TABLE, POLL_INTERVAL, ingest_energy, poll_observations, publish_records
 from . import Registry
@@ -127,9 +127,9 @@ def stream_upsert(spark, sf_dir):
     stream = message_stream(spark, topic)
     good, _ = route(parse_messages(stream, "value", FIELDS, MEASURES))
     keyed = good.withColumn("day", F.date_format("date_heure", "yyyy-MM-dd"))
-    sink = upsert_sink(table, checkpoint, UPSERT_TABLE, ["doc_id"], ["ingest_offset"], ["day"])
+    sink = upsert_sink(table, checkpoint, UPSERT_TABLE, ["doc_id"], ["ingest_offset"], ["day"], buckets=2)
     run_batches(keyed.select(*UPSERT_TABLE.names), sink, checkpoint).awaitTermination()
-    return spark.read.schema(UPSERT_TABLE).parquet(table)
+    return read_keyed(spark, table, UPSERT_TABLE)
 
 
 FIRST_TABLE = T.StructType([
@@ -150,9 +150,9 @@ def stream_dedup(spark, sf_dir):
         "event_type", hour.cast("timestamp").alias("hour"), "event_id", F.date_format(hour, "yyyy-MM").alias("month")
     ).repartitionByRange(3, F.desc("hour")).write.parquet(files)
     stream = table_stream(spark, files, FIRST_TABLE, files_per_batch=1)
-    sink = upsert_sink(table, checkpoint, FIRST_TABLE, ["event_type", "hour"], [-F.col("event_id")], ["month"])
+    sink = upsert_sink(table, checkpoint, FIRST_TABLE, ["event_type", "hour"], [-F.col("event_id")], ["month"], buckets=8)
     run_batches(stream, sink, checkpoint).awaitTermination()
-    return spark.read.schema(FIRST_TABLE).parquet(table).select(
+    return read_keyed(spark, table, FIRST_TABLE).select(
         "event_type", F.col("hour").cast("timestamp_ntz").alias("hour"), F.col("event_id").alias("first_event")
     )
 

@@ -74,6 +74,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def leaf_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders below ``path`` that hold files, relative to it; marker files do not count."""
+    files, location = _hadoop_path(spark, path)
+    top, found = files.makeQualified(location).toString(), set()
+    listed = files.listFiles(location, True)
+    while listed.hasNext():
+        folder, _, name = listed.next().getPath().toString().rpartition("/")
+        if not name.startswith(("_", ".")):
+            found.add(folder.removeprefix(top).lstrip("/"))
+    return sorted(found)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``. Broken off at any point, it can be done again."""
+    files, new = _hadoop_path(spark, source)
+    _, old = _hadoop_path(spark, target)
+    files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(new, old):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def discard(spark: SparkSession, path: str) -> bool:
     """Delete a staged table once nothing reads it any more."""
     files, location = _hadoop_path(spark, path)

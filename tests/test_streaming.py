@@ -14,7 +14,9 @@ from terrametry.streaming.jobs import append_files, daily_logs
 from terrametry.streaming.messages import (
     drop_repeats, parse_messages, publish, route, tallies, to_messages,
 )
-from terrametry.streaming.upsert import merge_latest, upsert_sink
+from terrametry.session import replace_folder
+from terrametry.streaming import upsert
+from terrametry.streaming.upsert import merge_latest, read_keyed, upsert_sink
 
 TABLE = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.IntegerType()),
                       T.StructField("o", T.LongType()), T.StructField("day", T.StringType())])
@@ -126,6 +128,66 @@ def test_replay_after_a_loss_in_mid_replacement(spark, tmp_path, rows):
         ("a", 2, 2, "d1"), ("b", 1, 1, "d1"), ("z", 1, 1, "d2")]
 
 
+def files_of(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("partitions", [["day"], ["day", "v"], []])
+def test_a_one_row_batch_rewrites_one_bucket(spark, tmp_path, rows, partitions):
+    table = str(tmp_path / "t")
+    sink = upsert_sink(table, str(tmp_path / "c"), TABLE, ["id"], ["o"], partitions, buckets=4)
+    first = [(f"k{i}", i % 3, i, ["d1", "d 2/x", None][i % 3]) for i in range(120)]
+    sink(batch(spark, *first), 0)
+    before = files_of(tmp_path / "t")
+    assert rows(read_keyed(spark, table, TABLE)) == sorted(first, key=repr)
+    update = batch(spark, ("k4", 1, 500, "d 2/x"))
+    sink(update, 1)
+    after = files_of(tmp_path / "t")
+    assert len(before) - len(set(before.items()) & set(after.items())) == 1
+    assert not files_of(tmp_path / "c")  # no second copy is kept
+    want = [r for r in first if r[0] != "k4"] + [("k4", 1, 500, "d 2/x")]
+    assert rows(read_keyed(spark, table, TABLE)) == sorted(want, key=repr)
+    sink(update, 1)  # a replay
+    sink(batch(spark, ("k4", 1, 2, "d 2/x"), ("new", 0, 1, None)), 2)  # an older write does not win
+    assert rows(read_keyed(spark, table, TABLE)) == sorted([*want, ("new", 0, 1, None)], key=repr)
+
+
+def test_buckets_survive_a_loss_in_mid_move(spark, tmp_path, rows, monkeypatch):
+    table = str(tmp_path / "t")
+    sink = upsert_sink(table, str(tmp_path / "c"), TABLE, ["id"], ["o"], ["day"], buckets=4)
+    first = [(f"k{i}", 0, i, "d1") for i in range(40)]
+    sink(batch(spark, *first), 0)
+    update = batch(spark, *[(f"k{i}", 1, 100, "d1") for i in range(20)])
+    moved = []
+
+    def broken(spark, source, target):
+        if moved:
+            shutil.rmtree(target)  # deleted, not yet replaced
+            raise OSError("lost")
+        moved.append(target)
+        replace_folder(spark, source, target)
+
+    monkeypatch.setattr(upsert, "replace_folder", broken)
+    with pytest.raises(OSError):
+        sink(update, 1)
+    monkeypatch.setattr(upsert, "replace_folder", replace_folder)
+    sink(update, 1)
+    want = [(f"k{i}", 1, 100, "d1") for i in range(20)] + first[20:]
+    assert rows(read_keyed(spark, table, TABLE)) == sorted(want, key=repr)
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path):
+    table = str(tmp_path / "t")
+    upsert_sink(table, str(tmp_path / "c"), TABLE, ["id"], ["o"], ["day"], buckets=4)(
+        batch(spark, *[(f"k{i}", 0, i, f"d{i % 3}") for i in range(60)]), 0)
+    current = spark.read.parquet(table)
+    touched = upsert.with_bucket(batch(spark, ("k1", 0, 1, "d1")), ["id"], 4).select("day", upsert.BUCKET).collect()
+    chosen = current.filter(upsert._in_folders(touched, ["day"]))
+    assert len(chosen.inputFiles()) == 12 and chosen.select(F.input_file_name()).distinct().count() == 1
+    scan = next(l for l in chosen._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in l)
+    assert "PartitionFilters: [" in scan and "PushedFilters: []" in scan
+
+
 def test_stream_equals_batch(spark, tmp_path, rows):
     topic, table = str(tmp_path / "topic"), str(tmp_path / "table")
     def drain():
