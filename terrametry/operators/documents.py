@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import json
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import geo_struct
-from ..schemas import SALE_DOCUMENT
+from ..schemas import SALE_DOCUMENT, document_mapping
 from ..session import stage
 from .enrich import split_on_null
 
@@ -24,23 +26,28 @@ def conform(df: DataFrame, mapping: StructType) -> DataFrame:
     return df.select(*[_conformed(df, f).alias(f.name) for f in mapping.fields])
 
 
-def conformance(df: DataFrame, mapping: StructType) -> DataFrame:
-    """One row per field: mapped, missing or unmapped, and values lost to typing."""
-    lost = {
+def _losses(df: DataFrame, mapping: StructType) -> dict[str, Column]:
+    """For each mapped field, how many of its values the type does not hold."""
+    return {
         f.name: F.count_if(F.col(f"`{f.name}`").isNotNull() & _conformed(df, f).isNull())
         for f in mapping.fields if f.name in df.columns
     }
-    names = [f.name for f in mapping.fields] + [c for c in df.columns if c not in mapping.names]
+
+
+def _statuses(df: DataFrame, mapping: StructType) -> dict[str, str]:
+    mapped = {f.name: "mapped" if f.name in df.columns else "missing" for f in mapping.fields}
+    return mapped | {c: "unmapped" for c in df.columns if c not in mapped}
+
+
+def conformance(df: DataFrame, mapping: StructType) -> DataFrame:
+    """One row per field: mapped, missing or unmapped, and values lost to typing."""
+    lost = _losses(df, mapping)
     rows = [
         F.struct(
-            F.lit(name).alias("field"),
-            F.lit(
-                "unmapped" if name not in mapping.names
-                else "mapped" if name in lost else "missing"
-            ).alias("status"),
+            F.lit(name).alias("field"), F.lit(status).alias("status"),
             lost.get(name, F.lit(0).cast("bigint")).alias("n_lost"),
         )
-        for name in names
+        for name, status in _statuses(df, mapping).items()
     ]
     return df.agg(F.array(*rows).alias("fields")).select(F.inline("fields"))
 
@@ -82,9 +89,23 @@ def replace_collection(
     df: DataFrame, path: str, mapping: StructType, format: str = "json", **how
 ) -> DataFrame:
     """Drop and recreate a collection under its mapping; returns what was mapped,
-    missing or lost, as :func:`conformance` does."""
-    write_documents(conform(df, mapping), path, mode="overwrite", format=format, **how)
-    return conformance(df, mapping)
+    missing or lost, as :func:`conformance` does.
+
+    Losses are counted in the pass that writes: the input is computed once. Files
+    get the mapping as JSON beside the data, in a file that readers of the
+    collection pass over; a connector gets it as an option.
+    """
+    seen, lost = Observation(), _losses(df, mapping)
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(f"lost_{name}") for name, c in lost.items()])
+    described = json.dumps(document_mapping(mapping))
+    if format not in FILE_FORMATS:
+        how = {f"{format}.mapping": described, **how}
+    write_documents(conform(watched, mapping), path, mode="overwrite", format=format, **how)
+    if format in FILE_FORMATS:
+        df.sparkSession.range(1).select(F.lit(described)).coalesce(1).write.mode("overwrite").text(f"{path}/_mapping")
+    counts = seen.get
+    rows = [(name, status, counts.get(f"lost_{name}", 0)) for name, status in _statuses(df, mapping).items()]
+    return df.sparkSession.createDataFrame(rows, "field string, status string, n_lost bigint")
 
 
 def write_split_documents(

@@ -56,16 +56,16 @@ def publish_records(
 
 def poll_observations(
     observations: DataFrame, location: str, now: datetime | Column, first: bool = False,
-    ts: str = "date_heure", **how,
+    ts: str = "date_heure", reach: timedelta | None = None, **how,
 ) -> Observation:
     """One poll of a table of observations: send what came in the last
-    :data:`LOOKBACK`, the first time the last :data:`BOOTSTRAP`.
+    :data:`LOOKBACK`, the first time the last :data:`BOOTSTRAP`; ``reach`` sets another span.
 
     Polls come every ``POLL_INTERVAL``, so they overlap and send some records
     twice; the keyed table keeps one of each.
     """
     at = now if isinstance(now, Column) else F.lit(now)
-    window = observation_pull(observations, ts, at, BOOTSTRAP if first else LOOKBACK)
+    window = observation_pull(observations, ts, at, reach or (BOOTSTRAP if first else LOOKBACK))
     shown = window.filter(F.col(ts) <= at).withColumn(ts, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
     return publish_records(shown, location, **how)
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ...operators.clean import project
 from ...operators.documents import (
-    conform, conformance, sale_documents, write_documents, write_split_documents,
+    conform, conformance, replace_collection, sale_documents, write_documents, write_split_documents,
 )
 from ...operators.enrich import split_on_null
 from ...schemas import DOUBLE, INT, LONG, SALE_DOCUMENT, STRING, struct
@@ -97,3 +97,19 @@ def document_create_if_absent(spark, sf_dir):
     return back.agg(
         F.count("balance").alias("n_with"), F.count_if(F.col("balance").isNull()).alias("n_without")
     )
+
+
+@query("""
+SELECT f.field, f.status, CASE WHEN f.field = 'segment_number' THEN n ELSE 0 END::bigint AS n_lost,
+       (SELECT count(*) FROM customer) AS n_stored
+FROM (SELECT count(c_mktsegment) AS n FROM customer),
+     (VALUES ('id', 'mapped'), ('code', 'mapped'), ('balance', 'mapped'),
+             ('segment_number', 'mapped'), ('city', 'missing'), ('label', 'unmapped')) f(field, status)""")
+def replaced_collection(spark, sf_dir):
+    """A collection recreated under its mapping: what was lost, observed on the write, and what is stored."""
+    path = scratch_path(spark, "replaced")
+    customers = _customers(spark, sf_dir)
+    write_documents(customers.filter("id % 2 = 0"), path)
+    report = replace_collection(customers, path, CUSTOMER_MAPPING)
+    stored = read_documents(spark, path, CUSTOMER_MAPPING).agg(F.count("id").alias("n_stored")).first()
+    return report.withColumn("n_stored", F.lit(stored.n_stored))

@@ -1,8 +1,11 @@
 """Left joins of dimensions to sales, derived measures and labels."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ...functions import band, geo_struct, guarded_rate, quality_flag, unit_price, zone
+from ...operators.clean import project
 from ...operators.documents import union_documents
 from ...operators.enrich import (
     PRICE_BANDS, TOP_BAND, enrich_left, label_sales, one_row_per_key, quality_totals, salted_left,
@@ -10,8 +13,12 @@ from ...operators.enrich import (
 )
 from ...operators.profiles import active_profile, creations_by_year, employer_profile
 from ...operators.reports import mean
+from ...operators.warehouse import create_database, write_bucketed
+from ...schemas import ENRICHED_V2, SALE_DOCUMENT
+from ...session import scratch_path
+from ...sources import read_documents, read_parquet
 from .. import roles
-from ..territory import enrich_sales
+from ..territory import TerritoryPaths, build_labelled, build_warehouse, enrich_sales
 from . import Registry
 from .sqltext import (
     AREAS, ESTABLISHMENTS, LABELLED, SALES, active as active_sql, creations, exact_mean, rounded,
@@ -136,6 +143,101 @@ def left_enrich_salted(spark, sf_dir):
     return joined.withColumnRenamed("order_key", "l_orderkey")
 
 
+SKEWED = "CASE WHEN {key} % 3 = 0 THEN 1 WHEN {key} % 7 = 0 THEN NULL ELSE {key} END"
+
+
+@query(f"""
+WITH lines AS (SELECT {SKEWED.format(key='l_orderkey')} AS order_key, l_orderkey, l_linenumber FROM lineitem)
+SELECT order_key, l_orderkey, l_linenumber, o_custkey, o_orderstatus
+FROM lines LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON order_key = o_orderkey""")
+def left_enrich_skewed(spark, sf_dir):
+    """A third of the lines share one key and others have none: both are spread over the salts."""
+    lines = roles.table(spark, sf_dir, "lineitem").select(
+        F.expr(SKEWED.format(key="l_orderkey")).alias("order_key"), "l_orderkey", "l_linenumber")
+    orders = roles.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderkey").alias("order_key"), "o_custkey", "o_orderstatus")
+    return salted_left(lines, orders.hint("merge"), ["order_key"], salts=16, spread_on=["l_orderkey", "l_linenumber"])
+
+
+@query(f"""WITH {SALES}, {AREAS}, {ONE_AREA}, {ESTABLISHMENTS}, profile AS ({active_sql('code_commune')})
+SELECT id_disposition, code_commune, annee, valeur_fonciere, prix_m2, nom_commune_insee, nb_entreprises_actives
+FROM sales LEFT JOIN area USING (code_commune) LEFT JOIN profile USING (code_commune)""")
+def left_enrich_bucketed(spark, sf_dir):
+    """Sales, areas and profiles bucketed alike by area: both joins run without a shuffle."""
+    database = f"buckets_{uuid.uuid4().hex[:8]}"
+    create_database(spark, database, scratch_path(spark, "buckets"))
+    areas = one_row_per_key(roles.geography(spark, sf_dir), ["code_commune"]).select("code_commune", "nom_commune_insee")
+    profile = _profile(spark, sf_dir, "code_commune").select("code_commune", "nb_entreprises_actives")
+    sales, areas, profile = (
+        write_bucketed(df, f"`{database}`.{name}", ["code_commune"], 8) for name, df in (
+            ("sales", roles.sales(spark, sf_dir).select(*SALE_COLUMNS)), ("areas", areas), ("profile", profile)))
+    return enrich_left(sales, [(areas.hint("merge"), ["code_commune"]), (profile.hint("merge"), ["code_commune"])]).select(
+        *SALE_COLUMNS, "nom_commune_insee", "nb_entreprises_actives")
+
+
+NAF = {"BUILDING": "68.20A", "AUTOMOBILE": "41.20B", "MACHINERY": "62.01Z", "HOUSEHOLD": "47.11F"}
+_NAF_SQL = "CASE c_mktsegment " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NAF.items()) + " ELSE '10.11Z' END"
+_FIRMS_SQL = f"""
+firms AS (SELECT c_custkey AS siret, lpad(c_nationkey::varchar, 2, '0') || lpad((c_custkey % 1000)::varchar, 3, '0') AS code_commune,
+                 substring({_NAF_SQL}, 1, 2) AS section_naf, c_acctbal > 0 AS active, 2016 + c_custkey % 10 AS annee FROM customer),
+profile AS (SELECT code_commune, count(*) AS nb_entreprises_actives, count(DISTINCT section_naf) AS diversite_sectorielle,
+                   count(*) FILTER (section_naf = '62') AS nb_entreprises_tech FROM firms WHERE active GROUP BY 1),
+made AS (SELECT code_commune, annee, count(*) AS nb_creations_annee FROM firms WHERE annee BETWEEN 2019 AND 2025 GROUP BY ALL)"""
+
+
+def _raw_files(spark, sf_dir, folder):
+    """The given tables as the raw files of the job: sales 24 years on, areas, and firms in one multi-line file."""
+    later = F.date_format(F.add_months(F.to_date(F.col("Date mutation"), "dd/MM/yyyy"), 288), "dd/MM/yyyy")
+    roles.raw_sales(spark, sf_dir).withColumn("Date mutation", later).write.csv(
+        f"{folder}/sales", sep="|", header=True, encoding="iso-8859-1")
+    code = F.concat(roles.department(), roles.commune_part("c_custkey"))
+    customers = roles.table(spark, sf_dir, "customer")
+    project(customers, {
+        "code_commune_INSEE": code, "nom_commune_postal": "c_name", "code_departement": roles.department(),
+        "latitude": F.col("c_acctbal").cast("decimal(18,2)").cast("string"), "longitude": (F.col("c_nationkey") - 12).cast("string"),
+    }).write.csv(f"{folder}/areas", header=True)
+    naf = F.lit("10.11Z")
+    for segment, activity in NAF.items():
+        naf = F.when(F.col("c_mktsegment") == segment, activity).otherwise(naf)
+    project(customers, {
+        "siret": F.col("c_custkey").cast("string"), "codeCommuneEtablissement": code,
+        "libelleCommuneEtablissement": F.concat(F.col("c_name"), F.lit('\n"bis", ter')), "codePostalEtablissement": F.lit("00000"),
+        "activitePrincipaleEtablissement": naf, "etatAdministratifEtablissement": F.when(F.col("c_acctbal") > 0, "A").otherwise("F"),
+        "dateCreationEtablissement": F.concat((2016 + F.col("c_custkey") % 10).cast("string"), F.lit("-05-17")),
+        "trancheEffectifsEtablissement": F.lit("11"), "etablissementSiege": F.lit("true"), "caractereEmployeurEtablissement": F.lit("O"),
+    }).coalesce(1).write.csv(f"{folder}/firms", header=True, quoteAll=True, escape='"')
+
+
+@query(f"""WITH {LABELLED}, {AREAS}, {ONE_AREA}, {_FIRMS_SQL},
+joined AS (SELECT labelled.* EXCLUDE (annee), labelled.annee + 24 AS annee, nom_commune_insee, latitude, nb_entreprises_actives,
+                  diversite_sectorielle, nb_entreprises_tech FROM labelled LEFT JOIN area USING (code_commune) LEFT JOIN profile USING (code_commune))
+SELECT code_departement, annee, qualite_donnee, categorie_prix, count(*) AS n, sum(valeur_fonciere::decimal(18,2))::double AS total,
+       count(nom_commune_insee) AS n_placed, sum(nb_entreprises_actives)::bigint AS n_active, sum(diversite_sectorielle)::bigint AS n_sections,
+       sum(nb_entreprises_tech)::bigint AS n_tech, sum(nb_creations_annee)::bigint AS n_made,
+       sum(CASE WHEN nb_entreprises_actives > 0 THEN {rounded('nb_creations_annee * 100 / nb_entreprises_actives')}::decimal(18,2) END)::double AS rates,
+       (SELECT count(*) FROM labelled) AS n_sales, (SELECT count(*) FROM labelled) AS n_documents
+FROM joined LEFT JOIN made USING (code_commune, annee) GROUP BY ALL""")
+def warehouse_job(spark, sf_dir):
+    """The whole job over text files of the given tables: clean, profile, join, write, verify, register, index, label."""
+    folder, database = scratch_path(spark, "raw"), f"job_{uuid.uuid4().hex[:8]}"
+    _raw_files(spark, sf_dir, folder)
+    create_database(spark, database, scratch_path(spark, "job"))
+    paths = TerritoryPaths(f"{folder}/sales", f"{folder}/areas", f"{folder}/firms", scratch_path(spark, "warehouse"),
+                           scratch_path(spark, "documents"), database=database)
+    summary = build_warehouse(spark, paths, roles.RULES, "fixed", dedupe_geography=True, exact=True).first()
+    target = scratch_path(spark, "warehouse-v2")
+    build_labelled(spark, paths.warehouse, target)
+    n_documents = read_documents(spark, paths.documents, SALE_DOCUMENT).count()
+    sold = read_parquet(spark, target, ENRICHED_V2)
+    return sold.groupBy("code_departement", "annee", "qualite_donnee", "categorie_prix").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("valeur_fonciere").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.count("nom_commune_insee").alias("n_placed"), F.sum("nb_entreprises_actives").alias("n_active"),
+        F.sum("diversite_sectorielle").alias("n_sections"), F.sum("nb_entreprises_tech").alias("n_tech"),
+        F.sum("nb_creations_annee").alias("n_made"),
+        F.sum(F.col("taux_creation_entreprises").cast("decimal(18,2)")).cast("double").alias("rates"),
+        F.lit(summary["total_transactions"]).cast("bigint").alias("n_sales"), F.lit(n_documents).cast("bigint").alias("n_documents"))
+
+
 @query(f"""WITH {ESTABLISHMENTS}, {AREAS}, {ONE_AREA}, named AS (
   SELECT code_commune, nom_commune, count(siret) AS nb_entreprises_actives
   FROM establishments WHERE etat = 'A' GROUP BY ALL)

@@ -8,10 +8,12 @@ from ...operators.logs import (
     cardinality, date_histogram, document_total, drop_blank, last_bucket, recent, reduce_series,
     since, top_term_histogram, top_terms, total_vs_errors,
 )
-from ...schemas import STRING, struct
-from ...session import scratch_path
-from ...sources import read_daily_logs, table_stream
-from ...streaming.jobs import daily_logs
+from ...operators.sketches import daily_sketches, distinct_in_ranges, error_bound
+from ...schemas import LOG_EVENT, STRING, struct
+from ...session import scratch_path, stage
+from ...sources import log_json_stream, log_line_stream, read_daily_logs, table_stream
+from ...streaming.histograms import histogram_sink, whole_histogram
+from ...streaming.jobs import daily_logs, run_batches
 from .. import roles
 from . import Registry
 
@@ -156,3 +158,73 @@ def daily_log_range(spark, sf_dir):
         spark, _stored_daily(spark, sf_dir), DAILY, "2024-01-10", "2024-01-12"
     )
     return days.groupBy(F.col("event_type").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+
+
+DAYS = (("2024-01-01", "2024-01-31"), ("2024-01-05", "2024-01-05"), ("2024-01-10", "2024-01-20"), ("2024-01-29", "2024-02-10"))
+_RANGES = ", ".join(f"(DATE '{a}', DATE '{b}')" for a, b in DAYS)
+
+
+@query(f"""WITH ranges AS (SELECT * FROM (VALUES {_RANGES}) AS r(first, last))
+SELECT first::varchar AS first, last::varchar AS last, event_type AS level, count(*) > 0 AS within_bound
+FROM ranges JOIN events ON ts::date BETWEEN first AND last GROUP BY ALL""")
+def hosts_by_range(spark, sf_dir):
+    """Distinct hosts of any range of days from one stored sketch a day, each within its error bound of the exact count."""
+    logs = roles.logs(spark, sf_dir)
+    sketches = stage(daily_sketches(logs, "ts", "host", ["level"]), "sketches")
+    ranges = spark.createDataFrame(DAYS, "first string, last string").select(
+        F.col("first").cast("date").alias("first"), F.col("last").cast("date").alias("last"))
+    estimates = distinct_in_ranges(sketches, ranges, ["level"])
+    days = ranges.withColumn("day", F.explode(F.sequence("first", "last")))
+    exact = logs.withColumn("day", F.to_date("ts")).join(F.broadcast(days), "day").groupBy("first", "last", "level").agg(
+        F.count_distinct("host").alias("n_exact"))
+    off = F.abs(F.col("n_distinct") - F.col("n_exact")) / F.col("n_exact")
+    return exact.join(estimates, ["first", "last", "level"], "left").select(
+        F.col("first").cast("string").alias("first"), F.col("last").cast("string").alias("last"), "level",
+        F.coalesce(off <= error_bound(), F.lit(False)).alias("within_bound"))
+
+
+@query("""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket, event_type AS level, count(*) AS n FROM events GROUP BY ALL""")
+def histogram_stream(spark, sf_dir):
+    """A running histogram whose files come newest first: closed, open and late buckets make the whole."""
+    files, closed, late, progress, checkpoint = (
+        scratch_path(spark, n) for n in ("log-events", "closed", "late", "histogram", "histogram-progress"))
+    logs = roles.logs(spark, sf_dir)
+    logs.repartitionByRange(5, F.desc("ts")).write.parquet(files)
+    step, by = timedelta(hours=1), ["level"]
+    sink = histogram_sink(closed, late, progress, by, step, timedelta(days=10))
+    run_batches(table_stream(spark, files, logs.schema, files_per_batch=1), sink, checkpoint).awaitTermination()
+    return whole_histogram(spark, closed, late, progress, by, step, logs.schema)
+
+
+@query("""
+SELECT event_type AS level, count(*) AS n, sum(length(event_id || ' ' || event_type || ' ' || props))::bigint AS n_chars
+FROM events WHERE event_id % 10 <> 0 GROUP BY 1""")
+def log_line_ingest(spark, sf_dir):
+    """Log files, blank lines among them, streamed into daily folders."""
+    lines, out, checkpoint = (scratch_path(spark, n) for n in ("log-lines", "log-days", "log-progress"))
+    event = F.col("event_id")
+    roles.events(spark, sf_dir).select(
+        F.when(event % 10 != 0, F.concat_ws(" ", event.cast("string"), "event_type", "props"))
+        .otherwise(F.when(event % 20 == 0, "   ").otherwise("")).alias("value")).write.text(lines)
+    stream = log_line_stream(spark, lines).withColumn("@timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    daily_logs(stream, out, checkpoint).awaitTermination()
+    kept = spark.read.parquet(out)
+    return kept.groupBy(F.split("message", " ")[1].alias("level")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("message")).alias("n_chars"))
+
+
+@query("""
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS level, count(*) AS n FROM events GROUP BY ALL""")
+def log_json_ingest(spark, sf_dir):
+    """JSON log events streamed on a schedule until all have come."""
+    events, out, checkpoint = (scratch_path(spark, n) for n in ("log-json", "json-days", "json-progress"))
+    roles.events(spark, sf_dir).select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("@timestamp"), F.col("event_id").cast("string").alias("message"),
+        F.col("event_type").alias("level")).write.json(events)
+    stream = log_json_stream(spark, events, LOG_EVENT)
+    polled = daily_logs(stream, out, checkpoint, every=timedelta(seconds=1))
+    polled.processAllAvailable()
+    polled.stop()
+    stored = spark.read.parquet(out)
+    return stored.groupBy(F.col("day").cast("string").alias("day"), "level").agg(F.count(F.lit(1)).alias("n"))

@@ -209,6 +209,32 @@ def energy_pipeline(spark, sf_dir):
         F.lit(counted.n_received).alias("n_received"), F.lit(counted.n_ok).alias("n_ok"))
 
 
+@query("""
+WITH seen AS (SELECT event_type, date_trunc('minute', ts) AS t, value::decimal(18,2)::double AS v, event_id FROM events),
+sent AS (SELECT *, row_number() OVER (PARTITION BY event_type, t ORDER BY event_id DESC) AS rn FROM seen WHERE event_id % 13 <> 0)
+SELECT event_type || '_' || strftime(t, '%Y-%m-%dT%H-%M-%S') AS doc_id, v AS consommation, event_id AS ingest_offset,
+       (SELECT count(*) FROM sent) AS n_received, (SELECT count(*) FROM sent) AS n_ok, 0::bigint AS n_failed,
+       (SELECT count(*) FROM seen) AS n_polled, (SELECT count(*) FROM seen WHERE event_id % 13 = 0) AS n_unsent
+FROM sent WHERE rn = 1""")
+def energy_backfill(spark, sf_dir):
+    """A first poll over the whole table, drained in small batches: every row is cleaned, counted and ordered."""
+    topic, table, dead, checkpoint = (scratch_path(spark, n) for n in ("backfill", "filled", "unfilled", "backfill-progress"))
+    event = F.col("event_id")
+    seen = project(roles.events(spark, sf_dir), {
+        "event_id": event, "libelle_region": "event_type", "date_heure": F.date_trunc("minute", "ts"),
+        "consommation": F.when(event % 13 != 0, F.col("value").cast("decimal(18,2)").cast("string")),
+    })
+    first, last = seen.agg(F.min("date_heure"), F.max("date_heure")).first()
+    polled = poll_observations(
+        seen.repartition(6, "event_id"), topic, F.lit(last).cast("timestamp_ntz"), reach=last - first, offset="event_id").get
+    ingest_energy(message_stream(spark, topic, batch_limit=2), table, dead, checkpoint).awaitTermination()
+    audit = spark.read.parquet(f"{checkpoint}/audit").agg(*[F.sum(n).alias(n) for n in ("n_received", "n_ok", "n_failed")])
+    counted = audit.first()  # one row
+    return spark.read.schema(ENERGY_TABLE).parquet(table).select(
+        "doc_id", "consommation", "ingest_offset", *[F.lit(counted[n]).alias(n) for n in audit.columns],
+        F.lit(polled["n_received"]).alias("n_polled"), F.lit(polled["n_ignored"]).alias("n_unsent"))
+
+
 @query(f"""WITH {MESSAGES_SQL}
 SELECT event_id, CASE WHEN consommation IS NULL THEN 'no_measure' ELSE 'no_region' END AS status
 FROM messages WHERE consommation IS NULL OR libelle_region IS NULL""")

@@ -5,12 +5,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from ...operators.warehouse import (
-    create_database, list_partitions, partition_inventory, register_table, verify_write,
+    create_database, list_partitions, partition_inventory, register_table, reused, verify_write,
     write_partitioned,
 )
+from ...operators.sketches import bitmap_table, distinct_of, rolled_up, with_codes
 from ...schemas import DOUBLE, INT, STRING, TableSpec, all_strings, struct
-from ...session import scratch_path
-from ...sources import profile_schema, read_delimited, read_multiline, read_parquet, read_table
+from ...session import scratch_path, stage
+from ...sources import preview, profile_schema, read_delimited, read_multiline, read_parquet, read_table
 from .. import roles
 from . import Registry
 from .sqltext import SALES, exact_mean
@@ -129,8 +130,48 @@ def catalog_partitions(spark, sf_dir):
 
 @query(f"WITH {SALES} SELECT count(*) AS n_expected, count(*) AS n_read, true AS complete FROM sales")
 def write_verification(spark, sf_dir):
-    path, rows = _written_sales(spark, sf_dir)
-    return verify_write(spark, path, rows, SALE_TABLE)
+    """Counts and row hashes, observed on the write and taken again on the read."""
+    path = scratch_path(spark, "sales")
+    written = write_partitioned(roles.sales(spark, sf_dir).select(*SALE_TABLE.names), path, KEYS, fingerprint=True)
+    return verify_write(spark, path, written.get, SALE_TABLE, KEYS)
+
+
+@query(f"""WITH {SALES},
+seen AS (SELECT code_departement AS department, annee AS year, code_commune FROM sales)
+SELECT department, year, count(DISTINCT code_commune) AS n_areas FROM seen GROUP BY GROUPING SETS ((department, year), (department), ())""")
+def distinct_areas(spark, sf_dir):
+    """Exact distinct areas per department and year, per department and overall, from one stored bitmap table."""
+    sold = roles.sales(spark, sf_dir).select(
+        F.col("code_departement").alias("department"), F.col("annee").alias("year"), "code_commune")
+    coded = sold.join(with_codes(sold, "code_commune"), "code_commune")
+    levels = [("department", "year"), ("department",), ()]
+    bitmaps = stage(bitmap_table(coded, levels[0]), "bitmaps")
+    parts = [bitmaps, rolled_up(bitmaps, levels[1]), rolled_up(bitmaps, levels[2])]
+    counted = [distinct_of(part, by, "n_areas").withColumns({c: F.lit(None).cast(bitmaps.schema[c].dataType) for c in levels[0] if c not in by})
+               for part, by in zip(parts, levels)]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+@query("SELECT least(3, count(*)) AS n_rows, least(3, count(*)) AS n_known FROM orders")
+def preview_rows(spark, sf_dir):
+    """A preview has three rows of the table, whichever they are."""
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    shown = preview(orders, 3)
+    known = shown.join(orders.withColumn("known", F.lit(1)), ["o_orderkey", "o_orderdate"], "left")
+    return known.agg(F.count(F.lit(1)).alias("n_rows"), F.count("known").alias("n_known"))
+
+
+@query("""
+SELECT o_orderstatus AS status, count(*) AS n, sum(o_totalprice::decimal(18,2))::double AS total,
+       (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS n_kept FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1""")
+def reused_aggregates(spark, sf_dir):
+    """A cleaned frame kept for two aggregates, released once both are written."""
+    kept = roles.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P")
+    with reused(kept) as orders:
+        by_status = stage(orders.groupBy(F.col("o_orderstatus").alias("status")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")), "by-status")
+        n_kept = orders.count()
+    return by_status.withColumn("n_kept", F.lit(n_kept).cast("bigint"))
 
 
 @query("""

@@ -20,7 +20,7 @@ from ..operators.warehouse import (
 )
 from ..schemas import ENRICHED, ENRICHED_V2, PARTITION_KEYS, TableSpec
 from ..session import stage
-from ..sources import read_delimited, read_parquet, stage_delimited
+from ..sources import read_delimited, read_multiline, read_parquet, stage_delimited
 
 
 @dataclass(frozen=True)
@@ -55,30 +55,32 @@ def enrich_sales(
 
 def build_warehouse(
     spark: SparkSession, paths: TerritoryPaths, rules: SaleRules = SaleRules(),
-    code_mode: str = "reference",
+    code_mode: str = "reference", dedupe_geography: bool = False, exact: bool = False,
 ) -> DataFrame:
     """Clean, profile, join, write, register and index; returns the summary.
 
-    Each raw file is parsed once: establishments are multi-line text, which no
-    scan can split, so their few wanted columns are staged as Parquet before the
+    Each raw file is parsed once: establishments are multi-line text, read by
+    many tasks, and their few wanted columns are staged as Parquet before the
     two aggregates read them. The joined dimensions are staged too; their true
-    sizes then decide how the joins run.
+    sizes then decide how the joins run. ``dedupe_geography`` keeps one row of each
+    area, so that repeated areas do not multiply sales.
     """
     sales = clean_transactions(
-        read_delimited(spark, paths.transactions, sep="|", encoding="latin1"), rules, code_mode
+        read_delimited(spark, paths.transactions, sep="|", encoding="latin1"), rules, code_mode, exact
     )
     geography = clean_geography(read_delimited(spark, paths.geography))
     establishments = stage_delimited(
         clean_establishments(
-            read_delimited(spark, paths.establishments, multiline=True, escape='"')
+            read_multiline(spark, paths.establishments)
         ),
         ["siret", "code_commune", "section_naf", "etat", "annee_creation"],
     )
     enriched = enrich_sales(
-        sales, geography, active_profile(establishments), creations_by_year(establishments)
+        sales, geography, active_profile(establishments), creations_by_year(establishments),
+        dedupe_geography, exact,
     )
-    written = write_partitioned(enriched.select(*ENRICHED.names), paths.warehouse, PARTITION_KEYS)
-    audit = verify_write(spark, paths.warehouse, written.get["rows"], ENRICHED)
+    written = write_partitioned(enriched.select(*ENRICHED.names), paths.warehouse, PARTITION_KEYS, fingerprint=True)
+    audit = verify_write(spark, paths.warehouse, written.get, ENRICHED, PARTITION_KEYS)
     if not audit.first()["complete"]:
         raise RuntimeError(f"{paths.warehouse}: rows written and rows readable differ")
     create_database(spark, paths.database)
