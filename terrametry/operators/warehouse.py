@@ -42,9 +42,9 @@ def write_partitioned(
     """
     written = Observation()
     sums = _fingerprint(df, keys) if fingerprint else []
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"), *sums)
-    if keys:
-        counted = counted.hint("rebalance", *keys)
+    # counted behind the shuffle: what is observed before it is lost when there are no rows
+    dealt = df.hint("rebalance", *keys) if keys else df
+    counted = dealt.observe(written, F.count(F.lit(1)).alias("rows"), *sums)
     writer = counted.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option(
         "partitionOverwriteMode", "dynamic" if only_touched else "static"
     )

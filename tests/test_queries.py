@@ -1,6 +1,7 @@
 """Every registered query against its SQL, and the plans they run as."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry
 from terrametry.plans.queries import load
@@ -28,9 +29,8 @@ def test_query(spark, tables, name):
         assert names == want_names and rows == want
 
 
-def test_only_sketches_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"approx_hosts", "schema_profile_sketch"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -69,3 +69,23 @@ def test_held_runs_share_one_scan_and_shuffle(spark):
     df.collect()
     plan = plan_of(df).split("== Initial Plan")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    plan = plan_of(QUERIES["left_enrich_bucketed"](spark, SF_DIR))
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+
+
+def test_frequent_and_missing_keys_are_spread(spark):
+    """A third of the rows share one key: with salts no task has them all."""
+    df = QUERIES["left_enrich_skewed"](spark, SF_DIR)
+    plan = plan_of(df)
+    assert "SortMergeJoin" in plan and "_salt" in plan
+    salt = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(16))
+    hot = df.filter("order_key = 1 OR order_key IS NULL").groupBy("order_key", salt.alias("salt")).count().collect()
+    assert len(hot) == 32 and max(r["count"] for r in hot) < df.count() / 20
+
+
+def test_rules_make_no_row_for_each_step(spark):
+    plan = plan_of(QUERIES["evaluate_rules"](spark, SF_DIR))
+    assert "events.parquet" not in plan and "sequence(" not in plan.replace("sequence(greatest", "")

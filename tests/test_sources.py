@@ -1,7 +1,9 @@
 import datetime as dt
+import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from terrametry.operators.documents import (
     conform, conformance, replace_collection, sale_documents, write_documents,
@@ -117,6 +119,17 @@ def test_replace_collection(spark, tmp_path, rows):
         report = replace_collection(df, path, mapping)
     assert rows(report) == [("id", "mapped", 0), ("n", "mapped", 1)]
     assert rows(read_documents(spark, path, mapping)) == [(1, None), (2, 7)]
+    assert json.loads(spark.read.text(f"{path}/_mapping").first().value) == document_mapping(mapping)
+
+
+def test_replacing_a_collection_computes_its_input_once(spark, tmp_path):
+    mapping, seen = struct(id=LONG, n=INT), spark.sparkContext.accumulator(0)
+    def watched(i):
+        seen.add(1)
+        return str(i)
+    df = spark.range(20).select(F.udf(watched)("id").alias("id"), F.lit("x").alias("n"))
+    report = replace_collection(df, str(tmp_path / "docs"), mapping)
+    assert {r.field: r.n_lost for r in report.collect()} == {"id": 0, "n": 20} and seen.value == 20
 
 
 def test_document_modes(spark, tmp_path, rows):

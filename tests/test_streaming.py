@@ -10,6 +10,7 @@ from terrametry.operators.latest import latest_per_key
 from terrametry.plans.energy import ENERGY_TABLE, ingest_energy, publish_records
 from terrametry.schemas import ENERGY_FIELDS, LOG_EVENT
 from terrametry.sources import log_json_stream, log_line_stream, message_stream
+from terrametry.streaming.histograms import histogram_sink, whole_histogram
 from terrametry.streaming.jobs import append_files, daily_logs
 from terrametry.streaming.messages import (
     drop_repeats, parse_messages, publish, route, tallies, to_messages,
@@ -252,3 +253,27 @@ def test_topic_source_options(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         message_stream(spark, "topic", "kafka", 50, **{"kafka.bootstrap.servers": "x:1"})
     assert len(ENERGY_FIELDS) == 14
+
+
+def test_running_histogram(spark, tmp_path, rows):
+    """Buckets close once, late rows go aside, a replay changes nothing."""
+    closed, late, progress = (str(tmp_path / n) for n in ("closed", "late", "progress"))
+    hour, schema = timedelta(hours=1), "ts timestamp, level string"
+    sink = histogram_sink(closed, late, progress, ["level"], hour, timedelta(hours=2))
+    def feed(n, *hours):
+        df = spark.createDataFrame([(None if h is None else dt.datetime(2024, 1, 1) + timedelta(hours=h), "e") for h in hours], schema)
+        sink(df, n)
+        return df
+    stored = lambda path: rows(spark.read.parquet(path).select("bucket", "n"))
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    whole = feed(0, 0.5, 1.5, 1.7)
+    assert stored(closed) == []
+    whole = whole.union(feed(1, 0.2, 4.1, None))  # 0 to 2 o'clock close
+    assert stored(closed) == [(at(0), 2), (at(1), 2)]
+    third = feed(2, 1.9, 3.5, 4.2)  # for a closed bucket
+    sink(third, 2)
+    whole = whole.union(third)
+    assert rows(spark.read.parquet(late), "level", "batch_id") == [("e", 1), ("e", 2)]
+    feed(3)
+    found = whole_histogram(spark, closed, late, progress, ["level"], hour, whole.schema)
+    assert rows(found, "bucket", "n") == sorted([(None, 1), (at(0), 2), (at(1), 3), (at(3), 1), (at(4), 2)], key=repr)

@@ -1,13 +1,17 @@
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from terrametry.operators.warehouse import (
-    create_database, list_partitions, list_tables, partition_inventory, register_table,
+    create_database, differing_slots, list_partitions, list_tables, partition_inventory, register_table,
     verify_write, write_partitioned,
 )
+from terrametry.operators.sketches import (
+    bitmap_table, daily_sketches, distinct_in_ranges, distinct_of, error_bound, rolled_up, with_codes,
+)
 from terrametry.plans.territory import TerritoryPaths, build_labelled, build_warehouse
 from terrametry.schemas import (
     DOUBLE, ENRICHED, ENRICHED_V2, INT, STRING, SALE_DOCUMENT, TableSpec, struct,
@@ -146,3 +150,40 @@ def test_whole_batch_job(spark, raw_files, rows):
     v2 = read_parquet(spark, str(raw_files / "v2"), ENRICHED_V2)
     assert rows(v2, "code_departement", "qualite_donnee", "categorie_prix", "zone_idf") == [
         ("01", "OK", "moyen", None), ("2A", "SUSPECTE", "bas", None), ("75", "OK", "tres_eleve", "Paris")]
+
+
+def test_a_fingerprint_sees_values_that_changed_places(spark, tmp_path, rows):
+    path, keys = str(tmp_path / "t"), ["dep", "year"]
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    seen = write_partitioned(df, path, keys, fingerprint=True).get
+    audit = lambda: verify_write(spark, path, seen, SCHEMA, keys).first()
+    assert tuple(audit()) == (3, 3, True) and differing_slots(spark, path, seen, SCHEMA, keys).count() == 0
+    swapped = df.withColumn("price", F.when(F.col("name") == "a", 2.0).when(F.col("name") == "b", 1.0).otherwise(F.col("price")))
+    write_partitioned(swapped, path, keys)
+    assert tuple(audit()) == (3, 3, False)
+    assert ("01", 2020) in rows(differing_slots(spark, path, seen, SCHEMA, keys))
+    write_partitioned(df.orderBy(F.desc("name")), path, keys)  # another order is the same table
+    assert audit().complete
+    empty = str(tmp_path / "e")
+    none = write_partitioned(stage(df, "rows").filter("name = 'zz'"), empty, keys, fingerprint=True).get
+    assert tuple(verify_write(spark, empty, none, SCHEMA, keys).first()) == (0, 0, True)
+
+
+def test_bitmaps_roll_up_exactly(spark, rows):
+    rng = random.Random(2)
+    data = [(f"a{rng.randint(0, 400)}" if rng.random() < 0.95 else None, f"d{i % 3}", i % 4) for i in range(3000)]
+    df = spark.createDataFrame(data, "area string, dep string, year int").repartition(5)
+    coded = df.join(with_codes(df, "area"), "area")
+    fine = stage(bitmap_table(coded, ["dep", "year"]), "bitmaps")
+    for by in (["dep", "year"], ["dep"], ["year"], []):
+        want = df.groupBy(*by).agg(F.count_distinct("area").alias("n"))
+        assert rows(distinct_of(rolled_up(fine, by), by, "n"), *by, "n") == rows(want, *by, "n")
+
+
+def test_merged_sketches_keep_their_bound(spark):
+    df = spark.range(200_000).select((F.col("id") % 60_000).alias("host"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 9).cast("int")).alias("ts"))
+    ranges = spark.createDataFrame([("2024-01-01", "2024-01-09"), ("2024-01-03", "2024-01-04")], "first string, last string").select(
+        F.col("first").cast("date").alias("first"), F.col("last").cast("date").alias("last"))
+    for r in distinct_in_ranges(daily_sketches(df, "ts", "host"), ranges).collect():
+        exact = df.filter(F.col("ts").between(F.lit(r.first), F.lit(r.last))).select("host").distinct().count()
+        assert abs(r.n_distinct - exact) <= error_bound() * exact
