@@ -156,7 +156,7 @@ def left_enrich_skewed(spark, sf_dir):
         F.expr(SKEWED.format(key="l_orderkey")).alias("order_key"), "l_orderkey", "l_linenumber")
     orders = roles.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P").select(
         F.col("o_orderkey").alias("order_key"), "o_custkey", "o_orderstatus")
-    return salted_left(lines, orders.hint("merge"), ["order_key"], salts=16, spread_on=["l_orderkey", "l_linenumber"])
+    return salted_left(lines, orders, ["order_key"], salts=16, spread_on=["l_orderkey", "l_linenumber"])
 
 
 @query(f"""WITH {SALES}, {AREAS}, {ONE_AREA}, {ESTABLISHMENTS}, profile AS ({active_sql('code_commune')})

@@ -77,13 +77,19 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 
 
 def test_frequent_and_missing_keys_are_spread(spark):
-    """A third of the rows share one key: with salts no task has them all."""
-    df = QUERIES["left_enrich_skewed"](spark, SF_DIR)
-    plan = plan_of(df)
-    assert "SortMergeJoin" in plan and "_salt" in plan
+    """A third of the rows share one key: shuffled by key and salt, no task has them all."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["left_enrich_skewed"](spark, SF_DIR)
+        plan = plan_of(df)
+        assert "SortMergeJoin" in plan and "hashpartitioning(order_key" in plan and "_salt" in plan
+        parts = df.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     salt = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(16))
     hot = df.filter("order_key = 1 OR order_key IS NULL").groupBy("order_key", salt.alias("salt")).count().collect()
-    assert len(hot) == 32 and max(r["count"] for r in hot) < df.count() / 20
+    assert len(hot) == 32 and max(r["count"] for r in hot) < df.count() / 20 and parts
 
 
 def test_rules_make_no_row_for_each_step(spark):
