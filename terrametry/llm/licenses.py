@@ -4,10 +4,16 @@ A text's canonical form is lower-case, without copyright lines and punctuation,
 equivalent spellings made one and words a blank apart. Its digest is looked up among
 those of known licences, and so is the digest of every line, for one-line notices.
 
-The default known texts are ``KNOWN``, which the SQL twin holds as well, the longer table
-of ``license_texts.json`` (each licence with and without its usual titles, appendices and
-wordings) and the usual notice lines. A text that several identifiers share has them all,
-as GPL-3.0-only and GPL-3.0-or-later do.
+The default known texts are ``KNOWN``, the longer table of ``license_texts.json`` (each
+licence with and without its usual titles, appendices and wordings) and lines that name a
+licence in their own way; the SQL twin is built from the same tables. A notice like
+"released under the terms of the ..." is two look-ups, its opening words by a pattern and the
+name after them by digest. A text that several identifiers share has them all, as
+GPL-3.0-only and GPL-3.0-or-later do.
+
+A line is a copyright notice if a sign, a year, a place for either or a capitalised name follows the
+word, and not where a licence's own words do ("copyright holders", "copyright notice"), so that
+a licence is found however its lines are wrapped.
 
 Built-in expressions only. Null and empty texts, and those of copyright lines alone,
 have the empty form, which no licence has. Repeated rows are found alike. A known text
@@ -17,7 +23,6 @@ listed under several names gives them all. An empty table gives no rows.
 from __future__ import annotations
 
 import json
-from itertools import product
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,7 +37,12 @@ EQUIVALENT = {
     "organisation": "organization", "per cent": "percent", "recognise": "recognize", "sub license": "sublicense",
     "utilisation": "utilization", "whilst": "while", "wilful": "willful", "http": "https",
 }
-_COPYRIGHT = r"(?i)^[^\p{L}\p{N}©]*(?:copyright|\(c\)|©|all rights reserved)"
+#: Lines that may be copyright notices: the word followed by a sign, a year, a place for either or a name; a sign first.
+NOTICE_LINE = (r"(?i)^[^\p{L}\p{N}©]*(?:copyright(?:[^\p{L}\p{N}]*(?:\(c\)|[©<\[{\d])|[^\p{L}\p{N}]+(?-i:\p{Lu}))"
+               r"|\(c\)[^\p{L}\p{N}]*(?:copyright|\d)|©|all rights reserved[^\p{L}\p{N}]*$)")
+#: Lines of a licence's body that begin like one, where it happens to be wrapped there.
+BODY_LINE = (r"(?i)^[^\p{L}\p{N}©]*copyright[^\p{L}\p{N}]+(?:holders?|owners?|notices?|laws?|licen[sc](?:es?|ors?)|statements?|disclaimers?"
+             r"|acts?|and|or|in|is)(?:[^\p{L}\p{N}]|$)")
 _ANY_EQUIVALENT = "(?<![^ ])(?:" + "|".join(EQUIVALENT) + ")(?![^ ])"
 
 _DISCLAIMER = (
@@ -110,11 +120,12 @@ _NAMED = (
                        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
     for version in ("4.0",)
 )
-_BEFORE = tuple(f"{what}{how} {under}{the}" for what, how, under, the in product(
-    ("", "This work is ", "This project is ", "This software is ", "This program is ", "This library is ", "This package is ", "This code is ",
-     "This file is ", "The code is ", "This document is ", "This repository is "),
-    ("licensed", "released", "distributed", "available", "made available"),
-    ("under ", "under the terms of "), ("the ", "a ", "")))
+#: Words of the canonical form before a licence's name; the name follows.
+BEFORE_NAME = (
+    "^(?:(?:this (?:work|project|software|program|library|package|code|file|document|repository)|the code) is )?"
+    "(?:licensed|released|distributed|available|made available) under (?:the terms of )?(?:(?:the|a) )?(.+)$")
+#: Stands before the form of a name in the table of known digests; no form has it.
+NAMED = "+"
 _SPECIAL = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("MPL-2.0", "License, v. 2.0. If a copy of the MPL was not distributed with this"),
@@ -124,13 +135,22 @@ _SPECIAL = (
 )
 
 
+def license_names() -> list[tuple[str, str]]:
+    """(license_id, name): what notices call the licences, after the words of ``BEFORE_NAME``."""
+    return [(name, called) for name, calls in _NAMED for called in calls]
+
+
 def notice_lines() -> list[tuple[str, str]]:
-    """(license_id, line): usual one-line notices of the named licences."""
+    """(license_id, line): tags and other one-line notices that name their licence in their own way."""
     tags = {name for name, _ in _NAMED} | {f"{n}{k}" for n in ("GPL-1.0", "LGPL-2.0") for k in ("-only", "-or-later")}
     tagged = [(name, f"SPDX-License-Identifier: {name}") for name in sorted(tags)]
     old = [(name, f"SPDX-License-Identifier: {name.removesuffix('-only')}") for name in sorted(tags) if name.endswith("-only")]
-    return tagged + old + list(_SPECIAL) + [
-        (name, f"{before}{called}") for name, calls in _NAMED for called in calls for before in _BEFORE]
+    return tagged + old + list(_SPECIAL)
+
+
+def license_entries() -> list[dict]:
+    """The longer table: of each text its parts, the wordings of its marks and its usual titles."""
+    return json.loads(Path(__file__).with_name("license_texts.json").read_text(encoding="utf-8"))
 
 
 def whole_texts() -> list[tuple[str, str]]:
@@ -140,7 +160,7 @@ def whole_texts() -> list[tuple[str, str]]:
     of ``swaps`` stands for one of several wordings; a title may come before.
     """
     out = []
-    for entry in json.loads(Path(__file__).with_name("license_texts.json").read_text(encoding="utf-8")):
+    for entry in license_entries():
         forms = ["".join(entry["parts"][:k + 1]) for k in range(len(entry["parts"]))]
         for mark, wordings in entry["swaps"].items():
             forms = list(dict.fromkeys(form.replace(mark, wording) for form in forms for wording in wordings))
@@ -158,31 +178,45 @@ def _one_spelling(form: Column) -> Column:
 def with_forms(texts: DataFrame, text_col: str, forms: str = "forms", whole: str = "whole") -> DataFrame:
     """``texts`` with the canonical forms of its lines that have one, and of the whole text."""
     plain = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1), lambda line: F.when(
-        line.rlike(_COPYRIGHT), "").otherwise(F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))))
+        line.rlike(NOTICE_LINE) & ~line.rlike(BODY_LINE), "").otherwise(F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))))
     out = texts.withColumn(forms, F.filter(F.transform(plain, _one_spelling), lambda form: form != ""))
     return out.withColumn(whole, F.array_join(forms, " ")).withColumn(whole, _one_spelling(F.col(whole)))
 
 
-def known_digests(known: DataFrame) -> DataFrame:
-    """(digest, license_id) of a table (license_id, text)."""
-    known = with_forms(known.select("license_id", "text"), "text").where("whole <> ''")
-    return known.select(F.md5("whole").alias("digest"), "license_id").distinct()
+def known_digests(known: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """(digest, license_id) of a table (license_id, text), and of names (license_id, name) that follow ``BEFORE_NAME``."""
+    listed = known.select("license_id", "text", F.lit("").alias("mark"))
+    if names is not None:
+        listed = listed.unionAll(names.select("license_id", F.col("name").alias("text"), F.lit(NAMED).alias("mark")))
+    listed = with_forms(listed, "text").where("whole <> ''")
+    return listed.select(F.md5(F.concat("mark", "whole")).alias("digest"), "license_id").distinct()
 
 
-def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_digest, licenses, notices) for every row: names of the whole text and of its lines, sorted."""
+def _look_ups(form: Column) -> Column:
+    """Digests of a form, and of the name that it ends with after the words of a notice."""
+    name = F.regexp_extract(form, BEFORE_NAME, 1)
+    return F.array_compact(F.array(F.md5(form), F.when(name != "", F.md5(F.concat(F.lit(NAMED), name)))))
+
+
+def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+         names: DataFrame | None = None) -> DataFrame:
+    """(doc_id, text_digest, licenses, notices) for every row: names of the whole text and of its lines, sorted.
+
+    Without ``known`` and ``names`` the default tables are looked up.
+    """
     spark = docs.sparkSession
     if known is None:
         known = spark.createDataFrame([*KNOWN, *notice_lines(), *whole_texts()], "license_id string, text string")
-    known = stage(known_digests(known), "known_licenses")
+        names = names if names is not None else spark.createDataFrame(license_names(), "license_id string, name string")
+    known = stage(known_digests(known, names), "known_licenses")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    rows = with_forms(rows, "text").select("doc_id", "text_hash", F.md5("whole").alias("text_digest"),
-                                           F.array_distinct(F.transform("forms", lambda form: F.md5(form))).alias("digests"))
+    rows = with_forms(rows, "text").select(
+        "doc_id", "text_hash", F.md5("whole").alias("text_digest"), _look_ups(F.col("whole")).alias("whole_digests"),
+        F.array_distinct(F.flatten(F.transform("forms", _look_ups))).alias("digests"))
     rows = stage(rows, "digests")
     key = ["doc_id", "text_hash"]
-    each = rows.select(*key, F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("text_digest").alias("digest"))),
-        F.transform("digests", lambda d: F.struct(F.lit(False).alias("whole"), d.alias("digest"))))).alias("e")).select(*key, "e.*")
+    of = lambda digests, whole: F.transform(digests, lambda d: F.struct(F.lit(whole).alias("whole"), d.alias("digest")))
+    each = rows.select(*key, F.explode(F.concat(of("whole_digests", True), of("digests", False))).alias("e")).select(*key, "e.*")
     names = lambda whole: F.array_sort(F.collect_set(F.when(F.col("whole") == whole, F.col("license_id"))))
     found = each.join(known, "digest").groupBy(*key).agg(names(True).alias("licenses"), names(False).alias("notices"))
     found = stage(found.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("with"), "licenses", "notices"), "licensed")

@@ -131,22 +131,42 @@ def _quoted(text: str) -> str:
 
 
 _LINE = r"trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g'))"
-_KNOWN = ", ".join(f"({-1 - k}, {_quoted(name)}, {_quoted(text)})" for k, (name, text) in enumerate(licenses.KNOWN))
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else _quoted(v) for v in row) + ")" for row in rows)
+
+
+_ENTRIES = list(enumerate(licenses.license_entries()))
+_MARKS = sorted({mark for _, e in _ENTRIES for mark in e["swaps"]})
+_FORMS = _values((i, name, "".join(e["parts"][:k + 1])) for i, e in _ENTRIES for name in e["names"] for k in range(len(e["parts"])))
+_WORDINGS = _values((i, mark, wording) for i, e in _ENTRIES for mark, wordings in e["swaps"].items() for wording in wordings)
+_TITLES = _values((i, title) for i, e in _ENTRIES for title in ["", *(f"{t}\n\n" for t in e["titles"])])
+_SWAPPED = ", ".join(
+    f"worded{k + 1} AS (SELECT f.e, name, replace(text, {_quoted(mark)}, coalesce(wording, '')) AS text FROM worded{k} f "
+    f"LEFT JOIN wordings w ON w.e = f.e AND w.mark = {_quoted(mark)})" for k, mark in enumerate(_MARKS))
+_NAMED = f"regexp_extract(form, {_quoted(licenses.BEFORE_NAME)}, 1)"
 LICENSES_SQL = f"""
-    WITH texts AS (SELECT row_number() OVER () AS n, doc_id, NULL AS name, text FROM documents
-                   UNION ALL SELECT n, NULL, name, text FROM (VALUES {_KNOWN}) AS k(n, name, text)),
-         lines AS (SELECT n, doc_id, name, list_filter(list_transform(
+    WITH worded0 AS (SELECT * FROM (VALUES {_FORMS}) AS f(e, name, text)),
+         wordings AS (SELECT * FROM (VALUES {_WORDINGS}) AS w(e, mark, wording)),
+         titles AS (SELECT * FROM (VALUES {_TITLES}) AS t(e, title)), {_SWAPPED},
+         listed AS (SELECT name, title || text AS text, '' AS mark FROM worded{len(_MARKS)} JOIN titles USING (e)
+                    UNION ALL SELECT *, '' FROM (VALUES {_values([*licenses.KNOWN, *licenses.notice_lines()])}) AS k(name, text)
+                    UNION ALL SELECT *, '{licenses.NAMED}' FROM (VALUES {_values(licenses.license_names())}) AS k(name, text)),
+         texts AS (SELECT row_number() OVER () AS n, doc_id, NULL AS name, NULL AS mark, text FROM documents
+                   UNION ALL SELECT -row_number() OVER (), NULL, name, mark, text FROM listed),
+         lines AS (SELECT n, doc_id, name, mark, list_filter(list_transform(
                        string_split(coalesce(text, ''), chr(10)), lambda line: CASE
-                       WHEN regexp_matches(line, {_quoted(licenses._COPYRIGHT)}) THEN '' ELSE {_spelled(_LINE)} END),
+                       WHEN regexp_matches(line, {_quoted(licenses.NOTICE_LINE)}) AND NOT regexp_matches(line, {_quoted(licenses.BODY_LINE)})
+                       THEN '' ELSE {_spelled(_LINE)} END),
                        lambda form: form <> '') AS forms FROM texts),
          canonical AS (SELECT *, {_spelled("array_to_string(forms, ' ')")} AS whole FROM lines),
-         known AS (SELECT DISTINCT whole AS form, name FROM canonical WHERE n < 0 AND whole <> ''),
+         known AS (SELECT DISTINCT mark || whole AS form, name FROM canonical WHERE n < 0 AND whole <> ''),
          docs AS (SELECT n, doc_id, forms, whole FROM canonical WHERE n > 0),
-         named AS (SELECT n, string_agg(name, ',' ORDER BY name) AS licenses FROM docs JOIN known ON whole = form GROUP BY n),
-         noted AS (SELECT n, string_agg(name, ',' ORDER BY name) AS notices
-                   FROM (SELECT DISTINCT n, name FROM (SELECT n, unnest(forms) AS form FROM docs) JOIN known USING (form)) GROUP BY n)
-    SELECT doc_id, md5(whole) AS text_digest, coalesce(licenses, '') AS licenses, coalesce(notices, '') AS notices
-    FROM docs LEFT JOIN named USING (n) LEFT JOIN noted USING (n)"""
+         every AS (SELECT n, whole AS form, true AS of_whole FROM docs UNION SELECT n, unnest(forms), false FROM docs),
+         asked AS (SELECT n, form, of_whole FROM every UNION SELECT n, '{licenses.NAMED}' || {_NAMED}, of_whole FROM every WHERE {_NAMED} <> ''),
+         named AS (SELECT n, of_whole, string_agg(name, ',' ORDER BY name) AS names
+                   FROM (SELECT DISTINCT n, of_whole, name FROM asked JOIN known USING (form)) GROUP BY ALL)
+    SELECT doc_id, md5(whole) AS text_digest, coalesce(w.names, '') AS licenses, coalesce(l.names, '') AS notices
+    FROM docs LEFT JOIN named w ON w.n = docs.n AND w.of_whole LEFT JOIN named l ON l.n = docs.n AND NOT l.of_whole"""
 
 _TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           rf"'{lexical.TERM}')")
