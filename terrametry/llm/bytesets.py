@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 _PIECE = 1 << 20
+#: Batches, and buckets, that one task takes.
+BATCHES = 3
 _random = np.random.RandomState(20240229)
 _BYTE = _random.randint(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 5)
@@ -106,10 +108,15 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def in_batches(docs: DataFrame, n_bytes: int, key: str = "id", batch_bytes: int = 8 << 20) -> DataFrame:
-    """Column ``batch``, alike for every run: rows dealt by their key to batches of some 8 MB."""
+def in_batches(docs: DataFrame, n_bytes: int, key: str = "id", text: str = "text", batch_bytes: int = 8 << 20) -> DataFrame:
+    """Column ``batch``, alike for every run: rows dealt by key and text to batches of some 8 MB.
+
+    Rows that share a key, or have none, are spread by their texts; only identical rows meet in
+    one batch. Tasks follow the input in number: each takes some batches.
+    """
     n = max(1, math.ceil(n_bytes / batch_bytes))
-    return docs.withColumn("batch", F.pmod(F.xxhash64(key), F.lit(n)).cast("long"))
+    dealt = docs.withColumn("batch", F.pmod(F.xxhash64(key, text), F.lit(n)).cast("long"))
+    return dealt.repartition(max(1, math.ceil(n / BATCHES)), "batch")
 
 
 def bucket_bits(n_bytes: int, bucket_bytes: int = 16 << 20) -> int:
@@ -153,12 +160,12 @@ def _add_up(group: pa.Table) -> pa.Table:
     })
 
 
-def totals(sent: DataFrame) -> DataFrame:
+def totals(sent: DataFrame, bits: int) -> DataFrame:
     """For each batch's postings, how often each key occurs in all batches (65,535 and more alike).
 
     Two keys of a bucket that agree in 32 bits count together, so a total is never too small.
     """
-    return sent.groupBy("bucket").applyInArrow(_add_up, TOTALS)
+    return sent.repartition(max(1, math.ceil((1 << bits) / BATCHES)), "bucket").groupBy("bucket").applyInArrow(_add_up, TOTALS)
 
 
 def totals_of(mine: pa.Table, n: int) -> np.ndarray:

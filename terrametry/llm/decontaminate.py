@@ -4,12 +4,12 @@ Words are runs of digits, letters and non-ASCII characters, A-Z lower-cased. A
 benchmark item's windows are its runs of ``window`` words; an item with fewer
 words, but not none, is one window.
 
-The benchmark is read in slices of at most ``SLICE_WORDS`` words, each sent to all
+The benchmark is read in slices of some ``SLICE_WORDS`` words, one after another, each sent to all
 tasks. Every task makes suffix arrays over shards of some 4 MB of its documents, with
 the slice's words as letters and anything else as a break, and looks every test suffix
 up in them by binary search: the suffixes that begin with it are the locations of its
-window. Windows that follow one another both in an item and in the document make up
-one longer match. No row is shuffled, so neither a frequent passage nor a group of
+window. The longest match of a stretch of hit words is read off the prefix lengths of a suffix array over the
+stretch and the items found in it. No row is shuffled, so neither a frequent passage nor a group of
 copies gathers anywhere.
 
 Null and empty texts have no words and no hit; null and empty items no window. An
@@ -20,6 +20,7 @@ items with equal words all count. An empty benchmark leaves every document clean
 from __future__ import annotations
 
 import itertools
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,10 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import stage
 from .bytesets import ALPHANUMERIC, LOWER, joined, pieces, word_hashes, word_spans
 
-#: Words of the benchmark that one broadcast holds at most, apart from a single longer item.
+#: Words of the benchmark that one broadcast holds on average; a longer item stays whole.
 SLICE_WORDS = 2_000_000
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 MATCH = "struct<start: long, end: long, longest: long>"
 RESULT = f"doc_id long, n_words long, items array<string>, matches array<{MATCH}>"
@@ -44,6 +47,50 @@ def _hashed_words(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return word_hashes(buf, starts, ends), np.searchsorted(starts, begins)
 
 
+def suffix_array(letters: np.ndarray) -> np.ndarray:
+    """Places of all suffixes in their order, by ranks of prefixes that double in length."""
+    n = len(letters)
+    rank = np.unique(letters, return_inverse=True)[1].astype(np.int64)
+    width = 1
+    while True:
+        after = np.full(n, -1, np.int64)
+        after[:max(0, n - width)] = rank[width:]
+        order = np.lexsort((after, rank))
+        a, b = rank[order], after[order]
+        new = np.concatenate([[0], np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))])
+        rank = np.empty(n, np.int64)
+        rank[order] = new
+        if new[-1] == n - 1 or width >= n:
+            return order
+        width *= 2
+
+
+def prefix_lengths(letters: np.ndarray, order: np.ndarray) -> list[int]:
+    """Letters that each suffix, in order, has in common with the one before."""
+    text, place = letters.tolist(), np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    before = np.concatenate([[-1], order[:-1]])[place].tolist()
+    rank, out, n, k = place.tolist(), [0] * len(order), len(order), 0
+    for i in range(n):
+        j = before[i]
+        if j < 0:
+            k = 0
+            continue
+        while i + k < n and j + k < n and text[i + k] == text[j + k]:
+            k += 1
+        out[rank[i]] = k
+        k = max(0, k - 1)
+    return out
+
+
+def longest_common(letters: np.ndarray, n_left: int) -> int:
+    """Longest run of letters before place ``n_left`` that also stands after it: the most
+    that neighbouring suffixes of the two sides share."""
+    order = suffix_array(letters)
+    shared, left = prefix_lengths(letters, order), (order < n_left).tolist()
+    return max((k for k, a, b in zip(shared[1:], left, left[1:]) if a != b), default=0)
+
+
 class TestSlice:
     """Windows of some benchmark items, ready to be looked up in any shard."""
 
@@ -66,21 +113,15 @@ class TestSlice:
         self.ids = [sorted(i) for i in ids]
         known: dict[bytes, int] = {}
         of_window: list[list[int]] = []
-        self.at: list[list[int]] = []  # where each window starts in the test, for longer matches
-        place = 0
-        for n, sequence in enumerate(same):
-            own = np.frombuffer(sequence, np.int64)
+        self.sequences = [np.frombuffer(sequence, np.int64) for sequence in same]
+        for n, own in enumerate(self.sequences):
             for k in range(max(1, len(own) - window + 1)):
                 key = own[k:k + window].tobytes()
                 w = known.setdefault(key, len(of_window))
                 if w == len(of_window):
                     of_window.append([])
-                    self.at.append([])
                 if not of_window[w] or of_window[w][-1] != n:
                     of_window[w].append(n)
-                self.at[w].append(place)
-                place += 1
-            place += 1
         self.classes = of_window
         rows = [np.frombuffer(k, np.int64) for k in known]
         self.length = np.array([len(r) for r in rows], np.int64)
@@ -130,17 +171,13 @@ class TestSlice:
         window = np.repeat(np.arange(len(n)), n)
         return window, array[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
 
-    def _longest(self, windows: tuple[tuple[int, ...], ...]) -> int:
-        """Words of the longest match in a stretch, given the windows that start at each of its words."""
-        best, active = 0, {}
-        for here in windows:
-            now = {}
-            for w in here:
-                n = int(self.length[w])
-                for t in self.at[w]:
-                    now[t] = max(now.get(t, 0), active.get(t - 1, n - 1) + 1)
-            best, active = max(best, *now.values()) if now else best, now
-        return best
+    def _longest(self, stretch: np.ndarray, classes: tuple[int, ...]) -> int:
+        """Words of the longest run that a stretch has in common with one of the items found in it."""
+        items = [self.sequences[n] for n in classes]
+        ends = np.arange(1, len(items) + 2) + int(max(map(np.max, items), default=0))  # a letter of its own ends each
+        parts = [part for sequence, end in zip([stretch, *items], ends) for part in (sequence, [end])]
+        letters = np.concatenate(parts).astype(np.int64)
+        return longest_common(letters, len(stretch))
 
     def scan(self, texts: pa.ChunkedArray) -> tuple[np.ndarray, list[list[str]], list[list[tuple[int, int, int]]]]:
         """Of each text: its number of words, ids of items found, and (start, end, longest match) of hit stretches."""
@@ -164,19 +201,17 @@ class TestSlice:
         order = np.argsort(place, kind="stable")
         window, place = window[order], place[order]
         ids_of: dict[tuple[int, ...], list[str]] = {}
-        seen: dict[tuple, int] = {}
+        seen: dict[tuple[bytes, tuple[int, ...]], int] = {}
         found = defaultdict(set)
         for a, b in zip(np.flatnonzero(hit == 1).tolist(), np.flatnonzero(hit == -1).tolist()):
             doc = int(np.searchsorted(begins, a, "right")) - 1
             i, j = np.searchsorted(place, (a, b))
-            at_word = defaultdict(list)
-            for p, w in zip(place[i:j].tolist(), window[i:j].tolist()):
-                at_word[p].append(w)
-            stretch = tuple(tuple(at_word.get(p, ())) for p in range(a, b))
+            here = np.unique(window[i:j]).tolist()
+            stretch = letters[a:b].tobytes(), tuple(sorted({n for w in here for n in self.classes[w]}))
             if stretch not in seen:
-                seen[stretch] = self._longest(stretch)
+                seen[stretch] = self._longest(letters[a:b], stretch[1])
             matches[doc].append((a - int(begins[doc]), b - int(begins[doc]), seen[stretch]))
-            found[doc].update(window[i:j].tolist())
+            found[doc].update(here)
         for doc, windows in found.items():
             classes = tuple(sorted({n for w in windows for n in self.classes[w]}))
             if classes not in ids_of:
@@ -186,18 +221,14 @@ class TestSlice:
 
 
 def test_slices(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[TestSlice]:
-    """The benchmark in bounded slices; rows come to the driver one slice after another."""
-    held, size = [], 0
-    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(text_col, F.lit("")))
-    for item, text in rows.toLocalIterator():
-        n = text.count(" ") + 1
-        if held and size + n > SLICE_WORDS:
-            yield TestSlice(held, window)
-            held, size = [], 0
-        held.append((item, text))
-        size += n
-    if held:
-        yield TestSlice(held, window)
+    """The benchmark in slices of some ``SLICE_WORDS`` words, dealt by Spark; one at a time comes to the driver."""
+    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.coalesce(text_col, F.lit("")).alias("text"))
+    n_words = rows.agg(F.sum(F.regexp_count(F.lower("text"), F.lit(WORD)))).first()[0] or 0
+    n = max(1, math.ceil(n_words / SLICE_WORDS))
+    for part in range(n):
+        own = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == part).toArrow().sort_by([("item", "ascending"), ("text", "ascending")])
+        if own.num_rows:
+            yield TestSlice(list(zip(own["item"].to_pylist(), own["text"].to_pylist())), window)
 
 
 test_slices.__test__ = False
@@ -239,8 +270,15 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                     yield from table.to_batches()
         return scan
 
-    for one in [*test_slices(benchmark, item_col, item_text, window)] or [TestSlice([], window)]:
-        out = out.mapInArrow(scanning(spark.sparkContext.broadcast(one)), out.schema)
+    shared = None
+    for one in test_slices(benchmark, item_col, item_text, window):
+        if shared is not None:  # the slice before is done with once its findings are written
+            out = stage(out, "passages")
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(one)
+        out = out.mapInArrow(scanning(shared), out.schema)
+    if shared is None:
+        out = out.mapInArrow(scanning(spark.sparkContext.broadcast(TestSlice([], window))), out.schema)
     return out.select("doc_id", "n_words", "items", "matches")
 
 
@@ -255,6 +293,11 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10, te
                     yield from table.filter(pa.array([not m for m in matches], pa.bool_())).to_batches()
         return clean
 
+    shared = None
     for one in test_slices(benchmark, item_col, item_text, window):
-        docs = docs.mapInArrow(cleaning(docs.sparkSession.sparkContext.broadcast(one)), docs.schema)
+        if shared is not None:
+            docs = stage(docs, "cleaned")
+            shared.unpersist()
+        shared = docs.sparkSession.sparkContext.broadcast(one)
+        docs = docs.mapInArrow(cleaning(shared), docs.schema)
     return docs

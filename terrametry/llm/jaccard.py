@@ -114,7 +114,7 @@ def document_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def sign(left: pa.Table, right: pa.Table) -> pa.Table:
         return _signed(left, right, width, percent)
 
-    back = totals(dealt.groupBy("batch").applyInArrow(send, POSTINGS))
+    back = totals(dealt.groupBy("batch").applyInArrow(send, POSTINGS), bits)
     return dealt.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(sign, SETS)
 
 

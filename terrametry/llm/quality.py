@@ -150,17 +150,24 @@ def certify(counted: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> D
     return best.select("stratum", F.when(F.col("best.gain") > 0, -F.col("best.order")).otherwise(-1).cast("int").alias("level"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
-          label_id: str = "doc_id", label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(doc_id, text_hash, stratum, counts, base_failed, strictness, level, kept) for every row of ``docs``."""
+def _scored(docs: DataFrame, id_col: str, text_col: str, stratum_col: str, row: Column | None = None) -> DataFrame:
+    """Statistics of every row, written once, with ``row`` as ``_q_row`` if it is given."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"))
+                       F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
+                       *([] if row is None else [row.alias("_q_row")]))
     scored = statistics(rows).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "stratum", *COUNTS, "n_lines", "n_capitals")
-    scored = stage(scored.withColumns({"base_failed": base_failed(), "strictness": strictness()}), "quality")
+        "doc_id", F.xxhash64("text").alias("text_hash"), "stratum", *COUNTS, "n_lines", "n_capitals",
+        *([] if row is None else ["_q_row"]))
+    return stage(scored.withColumns({"base_failed": base_failed(), "strictness": strictness()}), "quality")
+
+
+def _judged(scored: DataFrame, labels: DataFrame, label_id: str, label_col: str, alpha: float, delta: float) -> DataFrame:
     known = labels.where(F.col(label_id).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(label_id).alias("doc_id")).agg(F.max(label_col).alias("good"))
-    counted = scored.join(known, "doc_id").groupBy("stratum", "strictness").agg(
+    # a bound holds for independent texts: one observation for each labelled id, however often it occurs
+    once = scored.select("doc_id", "strictness", "stratum").join(known, "doc_id").groupBy("doc_id", "good").agg(
+        F.min(F.struct("strictness", "stratum")).alias("first")).select("first.*", "good")
+    counted = once.groupBy("stratum", "strictness").agg(
         F.sum((F.col("good") == 1).cast("long")).alias("n_good"), F.sum((F.col("good") != 1).cast("long")).alias("n_bad"))
     chosen = stage(certify(stage(counted, "holdout"), alpha, delta), "levels")
     level = F.coalesce("level", F.lit(-1))
@@ -168,9 +175,19 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         {"level": level, "kept": ~F.col("base_failed") & (F.col("strictness") > level)})
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Rows of ``docs``, all columns, that the rules keep."""
-    gone = judge(docs, labels, id_col, text_col, **options).where("not kept").select(
-        F.col("doc_id").alias("_q_id"), F.col("text_hash").alias("_q_hash")).distinct()
-    gone = stage(gone, "rejected")
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_q_id"]) & (F.xxhash64(docs[text_col]) == gone["_q_hash"]), "left_anti")
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+          label_id: str = "doc_id", label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """(doc_id, text_hash, stratum, counts, base_failed, strictness, level, kept) for every row of ``docs``.
+
+    Rows that share a labelled id are one observation: that of the smallest strictness,
+    then of the first stratum.
+    """
+    return _judged(_scored(docs, id_col, text_col, stratum_col), labels, label_id, label_col, alpha, delta)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+              label_id: str = "doc_id", label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """Rows of ``docs``, all columns, that the rules keep. Rows are written once with their statistics, and never shuffled."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = _scored(docs, id_col, text_col, stratum_col, row)
+    return _judged(scored, labels, label_id, label_col, alpha, delta).where("kept").select("_q_row.*")

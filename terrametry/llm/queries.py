@@ -62,7 +62,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return found.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), "score",
+    return found.select("doc_id", F.coalesce(toxicity.fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score",
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

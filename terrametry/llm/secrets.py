@@ -113,7 +113,8 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...], key: tuple[str, ...])
     rows = [(r.kind, c, a, t, len(way), len(trigram_query(r)))
             for r in rules for c, clause in enumerate(trigram_query(r)) for a, way in enumerate(clause) for t in sorted(way)]
     query = spark.createDataFrame(rows, "kind string, clause int, way int, trigram string, n_trigrams int, n_clauses int")
-    met = index.join(query, "trigram").distinct().groupBy(*key, "kind", "clause", "way", "n_trigrams", "n_clauses").count()
+    # the rules bound this table; the index is what must not be shuffled by a frequent trigram
+    met = index.join(F.broadcast(query), "trigram").distinct().groupBy(*key, "kind", "clause", "way", "n_trigrams", "n_clauses").count()
     met = met.where("count = n_trigrams").select(*key, "kind", "clause", "n_clauses").distinct()
     met = met.groupBy(*key, "kind", "n_clauses").count().where("count = n_clauses")
     return met.groupBy(*key).agg(F.collect_set("kind").alias("kinds"))

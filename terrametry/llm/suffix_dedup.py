@@ -23,6 +23,7 @@ goes whole from both. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -31,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .bytesets import (
+    BATCHES,
     _BYTE, POSTINGS, TOTALS, bucket_bits, in_batches, joined, mix, postings, text_bytes, totals, totals_of,
 )
 
@@ -297,9 +299,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "places": pa.array(list(found.values()), pa.list_(pa.int64())),
         })
 
-    of_runs = totals(dealt.applyInArrow(send, POSTINGS))
-    of_windows = totals(dealt.cogroup(of_runs.groupBy("batch")).applyInArrow(send_frequent, POSTINGS))
+    of_runs = totals(dealt.applyInArrow(send, POSTINGS), bits)
+    of_windows = totals(dealt.cogroup(of_runs.groupBy("batch")).applyInArrow(send_frequent, POSTINGS), bits)
     both = of_runs.withColumn("round", F.lit(1)).unionAll(of_windows.withColumn("round", F.lit(2)))
     segments = dealt.cogroup(both.groupBy("batch")).applyInArrow(send_segments, SEGMENTS)
-    spans = segments.groupBy("task").applyInArrow(lambda group: _judge(group, length), SPANS)
+    n_tasks = max(1, math.ceil((1 << bits) / BATCHES))
+    spans = segments.repartition(n_tasks, "task").groupBy("task").applyInArrow(lambda group: _judge(group, length), SPANS)
     return dealt.cogroup(spans.groupBy("batch")).applyInArrow(_cut, RESULT)

@@ -98,11 +98,21 @@ def parsed(data: bytes) -> dict:
     }
 
 
+def _file_system(uri: str) -> tuple[FileSystem, str]:
+    """Arrow's file system of a folder as Spark names it, and the path there."""
+    scheme, found, rest = uri.partition("://")
+    return FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{rest}" if found else uri)
+
+
+#: Hadoop's names of an object store, and Arrow's.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 class _Output:
     """Files of one task, each under a new name."""
 
     def __init__(self, folder: str, suffix: str) -> None:
-        self.files, path = FileSystem.from_uri(folder)
+        self.files, path = _file_system(folder)
         self.files.create_dir(path, recursive=True)
         self.path, self.folder, self.suffix = path, folder, suffix
         self.stream, self.name, self.size = None, "", 0
@@ -192,7 +202,7 @@ class _Input:
 
     def read(self, name: str, offset: int, length: int) -> bytes:
         if name != self.name:
-            files, path = FileSystem.from_uri(name)
+            files, path = _file_system(name)
             self.name, self.file = name, files.open_input_file(path)
         return self.file.read_at(length, offset)
 

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -61,3 +63,34 @@ def test_empty_tables(spark, no_docs, odd_docs):
     assert decontaminate.find_passages(no_docs, none).count() == 0
     assert {len(r["items"]) for r in decontaminate.find_passages(odd_docs, none).collect()} == {0}
     assert decontaminate.without_passages(odd_docs, none).count() == odd_docs.count()
+
+
+def test_longest_matches_equal_brute_force(spark):
+    """On few different words, where many windows chain and many runs nearly do."""
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choices("ab", k=rng.randint(3, 60)))) for i in range(12)]
+    docs = [(i, " ".join(rng.choices("abc", weights=(8, 8, 1), k=rng.randint(1, 120)))) for i in range(40)]
+    found = decontaminate.find_passages(spark.createDataFrame(docs, "doc_id long, text string"),
+                                        spark.createDataFrame(items, "item_id long, text string"), window=6).collect()
+    texts = dict(items)
+    for r in found:
+        words = dict(docs)[r.doc_id].split(" ")
+        for m in r["matches"]:
+            part, own = words[m["start"]:m["end"]], [texts[int(i)].split(" ") for i in r["items"]]
+            best = 0
+            for item in own:
+                for a in range(len(part)):
+                    for b in range(len(item)):
+                        k = 0
+                        while a + k < len(part) and b + k < len(item) and part[a + k] == item[b + k]:
+                            k += 1
+                        best = max(best, k)
+            assert m["longest"] == best
+
+
+def test_a_long_item_of_one_word_takes_seconds(spark):
+    same = " ".join(["same"] * 20_000)
+    started = time.time()
+    row = decontaminate.find_passages(spark.createDataFrame([(1, same + " x"), (2, "same")], "doc_id long, text string"),
+                                      spark.createDataFrame([(1, same)], "item_id long, text string")).where("doc_id = 1").first()
+    assert [tuple(m) for m in row["matches"]] == [(0, 20_000, 20_000)] and time.time() - started < 30

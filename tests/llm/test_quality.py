@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -56,3 +57,39 @@ def test_rejected_rows_go(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in judged.where("kept").collect())
     assert quality.judge(no_docs, labels).count() == 0 and quality.keep_good(no_docs, labels).count() == 0
+
+
+@pytest.mark.parametrize("times", [1, 400])
+def test_a_repeated_labelled_text_is_one_observation(spark, times):
+    """One good text, however often it occurs, certifies no level."""
+    good, bad = " ".join(f"word{k}" for k in range(30)), "### $$$ " * 3 + " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, good, "en")] * times + [(2, bad, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert {r.level for r in quality.judge(docs, labels).collect()} == {-1}
+
+
+def test_kept_with_certified_levels_equals_brute_force(spark):
+    """400 good and 60 bad labelled texts, each row present twice: cutoffs, levels and decisions by hand."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(520):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(40)]
+        symbols = rng.choice([0, 1]) if i < 430 else rng.randint(8, 60)
+        rows.append((i, " ".join(words) + " " + "#" * symbols, "en"))
+    labels = [(i, int(i < 430)) for i in range(500)]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string, lang string")
+    judged = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    strict = {r.doc_id: r.strictness for r in judged}
+    n_good = sum(g for _, g in labels)
+    certified, gains = [], []
+    for level in range(quality.N_LEVELS):
+        out = [sum(strict[i] <= level for i, g in labels if g == want) for want in (1, 0)]
+        if out[0] >= n_good * quality.ALPHA or exact_tail(n_good, out[0], quality.ALPHA) > quality.DELTA:
+            break
+        certified.append(level)
+        gains.append(out[1] - quality.GOOD_WEIGHT * out[0])
+    best = certified[gains.index(max(gains))] if certified and max(gains) > 0 else -1
+    assert best >= 0 and {r.level for r in judged} == {best}
+    assert all(r.kept == (not r.base_failed and r.strictness > best) for r in judged) and not all(r.kept for r in judged)
+    kept = quality.keep_good(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in judged if r.kept)

@@ -52,3 +52,9 @@ def test_keys(spark):
 
 def test_empty_table(spark, pages):
     assert warc.archive_and_read(spark, pages.limit(0)).count() == 0
+
+
+def test_object_stores_are_opened_under_arrows_name():
+    files, path = warc._file_system("s3a://bucket/folder?region=eu-west-1")
+    assert files.type_name == "s3" and path == "bucket/folder"
+    assert warc._file_system("file:///tmp/x")[1] == "/tmp/x"
