@@ -57,6 +57,10 @@ def _repeated(places: Column) -> Column:
     return F.aggregate(places, zero, step, lambda acc: acc["n"])
 
 
+#: Labelled ids that are broadcast at most, 8 bytes each.
+MOST_BROADCAST = 1_000_000
+
+
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with :data:`COUNTS`, ``n_lines`` and ``n_capitals``; working columns begin with ``_q_``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -150,28 +154,34 @@ def certify(counted: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> D
     return best.select("stratum", F.when(F.col("best.gain") > 0, -F.col("best.order")).otherwise(-1).cast("int").alias("level"))
 
 
-def _scored(docs: DataFrame, id_col: str, text_col: str, stratum_col: str, row: Column | None = None) -> DataFrame:
-    """Statistics of every row, written once, with ``row`` as ``_q_row`` if it is given."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
-                       *([] if row is None else [row.alias("_q_row")]))
-    scored = statistics(rows).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "stratum", *COUNTS, "n_lines", "n_capitals",
-        *([] if row is None else ["_q_row"]))
-    return stage(scored.withColumns({"base_failed": base_failed(), "strictness": strictness()}), "quality")
+def _graded(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, text, stratum, ...) with their statistics, ``base_failed`` and ``strictness``."""
+    return statistics(rows).withColumns({"base_failed": base_failed(), "strictness": strictness()})
+
 
+def _named(docs: DataFrame, id_col: str, text_col: str, stratum_col: str, *more: Column) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), *more)
 
-def _judged(scored: DataFrame, labels: DataFrame, label_id: str, label_col: str, alpha: float, delta: float) -> DataFrame:
-    known = labels.where(F.col(label_id).isNotNull() & F.col(label_col).isNotNull()).groupBy(
+
+def _known(labels: DataFrame, label_id: str, label_col: str) -> DataFrame:
+    return labels.where(F.col(label_id).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(label_id).alias("doc_id")).agg(F.max(label_col).alias("good"))
+
+
+def _levels(scored: DataFrame, known: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """(stratum, level) in use, by the labelled ones of ``scored`` rows (doc_id, stratum, strictness)."""
     # a bound holds for independent texts: one observation for each labelled id, however often it occurs
     once = scored.select("doc_id", "strictness", "stratum").join(known, "doc_id").groupBy("doc_id", "good").agg(
         F.min(F.struct("strictness", "stratum")).alias("first")).select("first.*", "good")
     counted = once.groupBy("stratum", "strictness").agg(
         F.sum((F.col("good") == 1).cast("long")).alias("n_good"), F.sum((F.col("good") != 1).cast("long")).alias("n_bad"))
-    chosen = stage(certify(stage(counted, "holdout"), alpha, delta), "levels")
+    return stage(certify(stage(counted, "holdout"), alpha, delta), "levels")
+
+
+def _decided(scored: DataFrame, levels: DataFrame) -> DataFrame:
     level = F.coalesce("level", F.lit(-1))
-    return scored.join(chosen, "stratum", "left").withColumns(
+    return scored.join(levels, "stratum", "left").withColumns(
         {"level": level, "kept": ~F.col("base_failed") & (F.col("strictness") > level)})
 
 
@@ -182,12 +192,23 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Rows that share a labelled id are one observation: that of the smallest strictness,
     then of the first stratum.
     """
-    return _judged(_scored(docs, id_col, text_col, stratum_col), labels, label_id, label_col, alpha, delta)
+    scored = stage(_graded(_named(docs, id_col, text_col, stratum_col)).select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), "stratum", *COUNTS, "n_lines", "n_capitals", "base_failed", "strictness"), "quality")
+    return _decided(scored, _levels(scored, _known(labels, label_id, label_col), alpha, delta))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
               label_id: str = "doc_id", label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """Rows of ``docs``, all columns, that the rules keep. Rows are written once with their statistics, and never shuffled."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    scored = _scored(docs, id_col, text_col, stratum_col, row)
-    return _judged(scored, labels, label_id, label_col, alpha, delta).where("kept").select("_q_row.*")
+    """Rows of ``docs``, all columns, that the rules keep.
+
+    Levels come from the labelled rows, found by a broadcast of up to ``MOST_BROADCAST``
+    ids; with more labels all rows are graded for them. The rows themselves are then
+    graded and filtered in one pass, neither written nor shuffled.
+    """
+    known = stage(_known(labels, label_id, label_col), "labelled")
+    rows = _named(docs, id_col, text_col, stratum_col)
+    if known.count() <= MOST_BROADCAST:
+        rows = rows.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    levels = _levels(_graded(rows), known, alpha, delta)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row")
+    return _decided(_graded(_named(docs, id_col, text_col, stratum_col, row)), levels).where("kept").select("_q_row.*")

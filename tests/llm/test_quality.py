@@ -68,8 +68,10 @@ def test_a_repeated_labelled_text_is_one_observation(spark, times):
     assert {r.level for r in quality.judge(docs, labels).collect()} == {-1}
 
 
-def test_kept_with_certified_levels_equals_brute_force(spark):
+@pytest.mark.parametrize("most", [1_000_000, 3])
+def test_kept_with_certified_levels_equals_brute_force(spark, monkeypatch, most):
     """400 good and 60 bad labelled texts, each row present twice: cutoffs, levels and decisions by hand."""
+    monkeypatch.setattr(quality, "MOST_BROADCAST", most)
     rng = random.Random(4)
     rows = []
     for i in range(520):
