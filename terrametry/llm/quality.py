@@ -57,10 +57,6 @@ def _repeated(places: Column) -> Column:
     return F.aggregate(places, zero, step, lambda acc: acc["n"])
 
 
-#: Labelled ids that are broadcast at most, 8 bytes each.
-MOST_BROADCAST = 1_000_000
-
-
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with :data:`COUNTS`, ``n_lines`` and ``n_capitals``; working columns begin with ``_q_``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -159,9 +155,9 @@ def _graded(rows: DataFrame) -> DataFrame:
     return statistics(rows).withColumns({"base_failed": base_failed(), "strictness": strictness()})
 
 
-def _named(docs: DataFrame, id_col: str, text_col: str, stratum_col: str, *more: Column) -> DataFrame:
+def _named(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), *more)
+                       F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"))
 
 
 def _known(labels: DataFrame, label_id: str, label_col: str) -> DataFrame:
@@ -197,18 +193,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return _decided(scored, _levels(scored, _known(labels, label_id, label_col), alpha, delta))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
-              label_id: str = "doc_id", label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """Rows of ``docs``, all columns, that the rules keep.
-
-    Levels come from the labelled rows, found by a broadcast of up to ``MOST_BROADCAST``
-    ids; with more labels all rows are graded for them. The rows themselves are then
-    graded and filtered in one pass, neither written nor shuffled.
-    """
-    known = stage(_known(labels, label_id, label_col), "labelled")
-    rows = _named(docs, id_col, text_col, stratum_col)
-    if known.count() <= MOST_BROADCAST:
-        rows = rows.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
-    levels = _levels(_graded(rows), known, alpha, delta)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row")
-    return _decided(_graded(_named(docs, id_col, text_col, stratum_col, row)), levels).where("kept").select("_q_row.*")
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Rows of ``docs``, all columns, that the rules keep."""
+    gone = judge(docs, labels, id_col, text_col, **options).where("not kept").select(
+        F.col("doc_id").alias("_q_id"), F.col("text_hash").alias("_q_hash")).distinct()
+    gone = stage(gone, "rejected")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_q_id"]) & (F.xxhash64(docs[text_col]) == gone["_q_hash"]), "left_anti")
