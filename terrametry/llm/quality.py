@@ -150,11 +150,6 @@ def certify(counted: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> D
     return best.select("stratum", F.when(F.col("best.gain") > 0, -F.col("best.order")).otherwise(-1).cast("int").alias("level"))
 
 
-def _graded(rows: DataFrame) -> DataFrame:
-    """Rows (doc_id, text, stratum, ...) with their statistics, ``base_failed`` and ``strictness``."""
-    return statistics(rows).withColumns({"base_failed": base_failed(), "strictness": strictness()})
-
-
 def _named(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"))
@@ -188,8 +183,9 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Rows that share a labelled id are one observation: that of the smallest strictness,
     then of the first stratum.
     """
-    scored = stage(_graded(_named(docs, id_col, text_col, stratum_col)).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), "stratum", *COUNTS, "n_lines", "n_capitals", "base_failed", "strictness"), "quality")
+    scored = statistics(_named(docs, id_col, text_col, stratum_col)).select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), "stratum", *COUNTS, "n_lines", "n_capitals")
+    scored = stage(scored.withColumns({"base_failed": base_failed(), "strictness": strictness()}), "quality")
     return _decided(scored, _levels(scored, _known(labels, label_id, label_col), alpha, delta))
 
 
