@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from terrametry.llm import toxicity
 
@@ -65,3 +66,68 @@ def test_a_repeated_labelled_id_is_one_text(spark):
     more = rows + [(k, "\uffff " + t) for k, t in rows] * 3
     nets = [toxicity.fit(spark.createDataFrame(r, "doc_id long, text string"), known) for r in (rows, more)]
     assert np.array_equal(nets[0].embedding, nets[1].embedding) and np.array_equal(nets[0].thresholds, nets[1].thresholds)
+
+
+def test_labelled_rows_beyond_any_sample_are_learned(spark):
+    """A word that only texts late in the order of hashed ids hold is learned all the same."""
+    ids = [r.id for r in spark.range(16_000).where(toxicity.fold("id") != 0).orderBy(F.xxhash64("id"), "id").collect()]
+    rng = random.Random(9)
+    late, rows, labels = set(ids[12_000:]), [], []
+    for place, k in enumerate(ids):
+        toxic = place % 4 == 0
+        word = ("vilest" if k in late else "rotten") if toxic else "gentle"
+        rows.append((k, f"{prose(rng, 3)} {word} {prose(rng, 2)}"))
+        labels.append((k, int(toxic)))
+    new = [(100_000 + i, f"{prose(rng, 3)} {word} {prose(rng, 2)}") for i in range(50) for word in ("vilest",)]
+    docs = spark.createDataFrame(rows + new, "doc_id long, text string")
+    net = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = toxicity.score(docs.where("doc_id >= 100000"), net).collect()
+    assert len(found) == 50 and np.mean([r.score >= 0.5 for r in found]) > 0.9
+
+
+def test_every_labelled_text_is_in_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 40)
+    rng = random.Random(4)
+    rows = [(k, prose(rng, rng.randint(0, 9))) for k in range(400)] + [(None, "x"), (7, "zz again"), (8, None)]
+    known = [(k, k % 2) for k in range(0, 400, 2)] + [(7, 1), (8, 1), (None, 1), (5000, 1)]
+    shards = toxicity._labelled_shards(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(known, "doc_id long, toxic int"),
+        "doc_id", "text", "toxic").collect()
+    assert len({r.shard for r in shards}) > 2
+    got = {}
+    for r in shards:
+        ids, labels, texts, kinds = toxicity._unpacked(r.asDict())
+        assert not got.keys() & set(ids.tolist())
+        got |= {k: (r.fitting, int(y), kinds[t].tolist()) for k, y, t in zip(ids.tolist(), labels, texts)}
+    want, best = {}, dict(known)
+    for k, text in sorted(((k, t) for k, t in rows if k is not None and t is not None), reverse=True):
+        at = zlib.crc32(str(k).encode()) % 5
+        if k in best and at:
+            want[k] = (at != 4, max(y for i, y in known if i == k), toxicity.word_buckets(pa.array([text]))[0].tolist())
+    assert got == want
+
+
+def test_thresholds_are_the_best_over_all_texts(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 2]), k, rng.choice([-1.0, 0.25, 0.5, rng.uniform(-3, 3)]), rng.randint(0, 1)) for k in range(700)]
+    rows += [(3, 1000 + k, float(k), 1) for k in range(5)] + [(4, 2000 + k, float(k), 0) for k in range(5)]
+    found = {r.spoken: r for r in toxicity.best_thresholds(
+        spark.createDataFrame(rows, "spoken int, id long, logit float, label int").repartition(7)).collect()}
+    for kind in (1, 2, 3, 4):
+        own = sorted((x, k, y) for s, k, x, y in rows if s == kind)
+        x = [float(np.float32(v)) for v, _, _ in own]
+        wrong = [sum(y == 1 for _, _, y in own[:k]) + sum(y == 0 for _, _, y in own[k:]) for k in range(len(own) + 1)]
+        best = [k for k, w in enumerate(wrong) if w == min(wrong)]
+        padded = [x[0] - 1, *x, x[-1] + 1]
+        want = np.mean([(padded[k] + padded[k + 1]) / 2 for k in (best[0], best[-1])])
+        r = found[kind]
+        assert np.isclose(r.threshold, want) and r.n == len(own) and (r.least, r.most) == (min(y for *_, y in own), max(y for *_, y in own))
+
+
+def test_shards_average_what_they_touched():
+    rows = [{"shard": 1, "n": 1, "part": 0, "ids": np.array([3, 5], np.int32).tobytes(), "own": np.repeat(np.float32([1, 2]), toxicity.WIDTH + 1).tobytes()},
+            {"shard": 0, "n": 3, "part": 0, "ids": np.array([5], np.int32).tobytes(), "own": np.repeat(np.float32([6]), toxicity.WIDTH + 1).tobytes()}]
+    out = toxicity._averaged(pa.Table.from_pylist(rows, pa.schema([
+        ("shard", pa.int32()), ("n", pa.int64()), ("part", pa.int32()), ("ids", pa.binary()), ("own", pa.binary())]))).to_pylist()[0]
+    assert np.frombuffer(out["ids"], np.int32).tolist() == [3, 5]
+    assert np.frombuffer(out["own"], np.float32).reshape(2, -1)[:, 0].tolist() == [1.0, 5.0]
