@@ -186,7 +186,10 @@ made AS (SELECT code_commune, annee, count(*) AS nb_creations_annee FROM firms W
 
 
 def _raw_files(spark, sf_dir, folder):
-    """The given tables as the raw files of the job: sales 24 years on, areas, and firms in one multi-line file."""
+    """The given tables as the raw files of the job: sales 24 years on, areas, and firms as multi-line text.
+
+    Each is written by as many tasks as read the input.
+    """
     later = F.date_format(F.add_months(F.to_date(F.col("Date mutation"), "dd/MM/yyyy"), 288), "dd/MM/yyyy")
     roles.raw_sales(spark, sf_dir).withColumn("Date mutation", later).write.csv(
         f"{folder}/sales", sep="|", header=True, encoding="iso-8859-1")
@@ -205,7 +208,7 @@ def _raw_files(spark, sf_dir, folder):
         "activitePrincipaleEtablissement": naf, "etatAdministratifEtablissement": F.when(F.col("c_acctbal") > 0, "A").otherwise("F"),
         "dateCreationEtablissement": F.concat((2016 + F.col("c_custkey") % 10).cast("string"), F.lit("-05-17")),
         "trancheEffectifsEtablissement": F.lit("11"), "etablissementSiege": F.lit("true"), "caractereEmployeurEtablissement": F.lit("O"),
-    }).coalesce(1).write.csv(f"{folder}/firms", header=True, quoteAll=True, escape='"')
+    }).write.csv(f"{folder}/firms", header=True, quoteAll=True, escape='"')
 
 
 @query(f"""WITH {LABELLED}, {AREAS}, {ONE_AREA}, {_FIRMS_SQL},

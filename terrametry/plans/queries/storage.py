@@ -47,14 +47,14 @@ SELECT doc_id::varchar AS doc_id, source, sha256(text) AS text_sha256, length(te
        coalesce(contains(text, chr(10)), false) AS has_break, text = '' AS is_empty
 FROM (SELECT doc_id, source, CASE WHEN doc_id % 97 = 5 THEN NULL WHEN doc_id % 97 = 6 THEN '' ELSE text END AS text FROM documents)""")
 def csv_multiline(spark, sf_dir):
-    """Texts with line breaks and quotes in one file, read back in parallel byte for byte; NULL and empty are two things."""
+    """Texts with line breaks and quotes, a file for each task that reads them, read back in parallel byte for byte; NULL and empty are two things."""
     path = scratch_path(spark, "texts")
     doc = F.col("doc_id") % 97
     rows = roles.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "source",
         F.when(doc == 5, None).when(doc == 6, "").otherwise(F.col("text")).alias("text"),
     )
-    rows.coalesce(1).write.csv(
+    rows.write.csv(
         path, header=True, quoteAll=True, escape='"', emptyValue="", nullValue="\\N",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )

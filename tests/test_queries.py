@@ -1,10 +1,13 @@
 """Every registered query against its SQL, and the plans they run as."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry
 from terrametry.plans.queries import load
+from terrametry.session import scratch_path
 from tools.check import connect, spark_rows, sql_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -95,3 +98,24 @@ def test_frequent_and_missing_keys_are_spread(spark):
 def test_rules_make_no_row_for_each_step(spark):
     plan = plan_of(QUERIES["evaluate_rules"](spark, SF_DIR))
     assert "events.parquet" not in plan and "sequence(" not in plan.replace("sequence(greatest", "")
+
+
+def many_files(spark, tmp_path, *names):
+    """Tables of sf0.001 in five files each, which eight cores read by five tasks."""
+    for name in names:
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").repartition(5).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name, part, tables", [
+    ("csv_multiline", "texts-", ("documents",)),
+    ("warehouse_job", "raw-", ("customer", "orders", "lineitem", "documents")),
+])
+def test_text_is_written_by_the_tasks_that_read_the_input(spark, tmp_path, name, part, tables):
+    source = many_files(spark, tmp_path / "in", *tables)
+    folder = f"{scratch_path(spark, 'x').rsplit('/', 1)[0]}/{part}*"
+    old = set(glob.glob(folder))
+    rows = QUERIES[name](spark, source).count()
+    new, = set(glob.glob(folder)) - old
+    assert rows == QUERIES[name](spark, SF_DIR).count()
+    assert len(glob.glob(f"{new}/part-*" if name == "csv_multiline" else f"{new}/firms/part-*")) == 5
