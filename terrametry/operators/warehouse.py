@@ -28,7 +28,7 @@ def _fingerprint(df: DataFrame, keys: Sequence[str], slots: int = SLOTS) -> list
 
 def write_partitioned(
     df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite",
-    rows_per_file: int = 5_000_000, only_touched: bool = False, fingerprint: bool = False,
+    rows_per_file: int = 5_000_000, only_touched: bool = False, fingerprint: bool = False, rebalance: bool = True,
 ) -> Observation:
     """Write Parquet by partition folder; returns the row count observed.
 
@@ -37,13 +37,14 @@ def write_partitioned(
 
     Rows are rebalanced on the partition columns, so small partitions share a
     task and write few files, while a partition holding much of the data is
-    split over many tasks. ``only_touched`` replaces just the partitions that
+    split over many tasks. Rows read from files already laid out by ``keys`` need no
+    ``rebalance``: each task writes what it read, without a shuffle. ``only_touched`` replaces just the partitions that
     occur in ``df``; otherwise the whole data set is replaced.
     """
     written = Observation()
     sums = _fingerprint(df, keys) if fingerprint else []
     # counted behind the shuffle: what is observed before it is lost when there are no rows
-    dealt = df.hint("rebalance", *keys) if keys else df
+    dealt = df.hint("rebalance", *keys) if keys and rebalance else df
     counted = dealt.observe(written, F.count(F.lit(1)).alias("rows"), *sums)
     writer = counted.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option(
         "partitionOverwriteMode", "dynamic" if only_touched else "static"

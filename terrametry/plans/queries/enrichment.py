@@ -186,13 +186,13 @@ made AS (SELECT code_commune, annee, count(*) AS nb_creations_annee FROM firms W
 
 
 def _raw_files(spark, sf_dir, folder):
-    """The given tables as the raw files of the job: sales 24 years on, areas, and firms as multi-line text.
+    """The given tables as the raw files of the job: sales 24 years on in packed files of few rows, areas, and firms as multi-line text.
 
     Each is written by as many tasks as read the input.
     """
     later = F.date_format(F.add_months(F.to_date(F.col("Date mutation"), "dd/MM/yyyy"), 288), "dd/MM/yyyy")
-    roles.raw_sales(spark, sf_dir).withColumn("Date mutation", later).write.csv(
-        f"{folder}/sales", sep="|", header=True, encoding="iso-8859-1")
+    roles.raw_sales(spark, sf_dir).withColumn("Date mutation", later).write.option("maxRecordsPerFile", 500_000).csv(
+        f"{folder}/sales", sep="|", header=True, encoding="iso-8859-1", compression="gzip")
     code = F.concat(roles.department(), roles.commune_part("c_custkey"))
     customers = roles.table(spark, sf_dir, "customer")
     project(customers, {

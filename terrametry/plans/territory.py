@@ -95,8 +95,9 @@ def build_warehouse(
 def build_labelled(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Second warehouse with quality, band and zone labels; returns the totals.
 
-    The totals come from the written files' flag column alone.
+    The source is laid out by the same keys, so its rows are labelled and written where they are
+    read. The totals come from the written files' flag column alone.
     """
     labelled = label_sales(read_parquet(spark, source, ENRICHED))
-    write_partitioned(labelled.select(*ENRICHED_V2.names), target, PARTITION_KEYS)
+    write_partitioned(labelled.select(*ENRICHED_V2.names), target, PARTITION_KEYS, rebalance=False)
     return quality_totals(read_parquet(spark, target, ENRICHED_V2))

@@ -187,3 +187,15 @@ def test_merged_sketches_keep_their_bound(spark):
     for r in distinct_in_ranges(daily_sketches(df, "ts", "host"), ranges).collect():
         exact = df.filter(F.col("ts").between(F.lit(r.first), F.lit(r.last))).select("host").distinct().count()
         assert abs(r.n_distinct - exact) <= error_bound() * exact
+
+
+def test_labels_are_written_where_the_rows_are_read(spark, tmp_path):
+    """A second warehouse of the same keys needs no shuffle: rows of one partition stay in as many files."""
+    source, target = str(tmp_path / "v1"), str(tmp_path / "v2")
+    row = {"code_departement": "75", "annee": 2020, "id_disposition": "1", "prix_m2": 900.0, "valeur_fonciere": 9000.0}
+    df = spark.createDataFrame([tuple(row.get(n) for n in ENRICHED.names)], ENRICHED)
+    for _ in range(3):
+        df.coalesce(1).write.mode("append").partitionBy("code_departement", "annee").parquet(source)
+    assert build_labelled(spark, source, target).first()["n_total"] == 3
+    assert len(list((tmp_path / "v2").rglob("part-*.parquet"))) == 3
+    assert read_parquet(spark, target, ENRICHED_V2).filter("code_departement = '75' AND annee = 2020 AND categorie_prix = 'bas'").count() == 3
