@@ -208,8 +208,11 @@ def _age(tagged, rules, how: _Setting, earlier):
     found = how.covered(tagged, how.key).withColumn("_cross", F.timestamp_micros(F.round(crossed).cast("long")).cast(how.kind))
     within = lambda at: F.greatest(F.col("_from"), F.least(F.col("_before"), at))
     bounds = [F.col("_from"), within(how.ceil(F.col("_cross"))), within(how.floor(F.col("_cross")) + how.stride), F.col("_before")]
-    pieces = F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in zip(bounds, bounds[1:])])
-    cut = found.withColumn("_bounds", pieces).withColumn("p", F.explode("_bounds")).filter("p.a < p.b")
+    # a fixed list is exploded: of an exploded column the planner infers a filter, which repeats all that the column is made of
+    edges = [f"_b{i}" for i in range(len(bounds))]
+    pieces = found.withColumns(dict(zip(edges, bounds))).withColumn("_piece", F.explode(F.array(*[F.lit(i) for i in range(1, len(edges))])))
+    cut = pieces.withColumn("p", F.struct(
+        F.element_at(F.array(*edges[:-1]), F.col("_piece")).alias("a"), F.element_at(F.array(*edges[1:]), F.col("_piece")).alias("b"))).filter("p.a < p.b")
     age = lambda at: epoch(at) / 1_000_000 - F.col("value").cast("double")
     until = F.col("p.b") - how.stride
     return cut.select(*how.key, F.col("p.a").alias(how.ts), until.alias("until"), age(until).alias("value"),

@@ -7,7 +7,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from terrametry.operators.alerts import Rule, evaluate_rules, reference_rules
+from terrametry.operators.alerts import Rule, _age, _Setting, evaluate_rules, reference_rules, tag
 from terrametry.operators.series import promote_labels
 from terrametry.sources import table_stream
 from terrametry.streaming.jobs import run_batches
@@ -280,3 +280,13 @@ def test_rules_read_samples_once_and_make_no_row_for_each_step(spark):
     out = evaluate_rules(df, KINDS, at(300), LABELS, step=timedelta(seconds=1))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "sequence(" not in plan and "LocalRelation [ts" not in plan and "LogicalRDD [ts" not in plan
+
+
+def test_age_pieces_are_not_computed_again_in_a_filter(spark):
+    df = samples(spark, [("seen", {"name": "a"}, [(0, EPOCH), (30, EPOCH + 20), (90, EPOCH + 25)])])
+    rule = Rule("Old", "age", "seen", ">", 60, 0)
+    assert states(evaluate_rules(df, [rule], at(100), LABELS)) == {("Old", "a"): ("firing", at(90))}
+    tagged = tag(df, [rule], LABELS)
+    how = _Setting([*LABELS], timedelta(seconds=15), timedelta(minutes=5), 21_600, "ts", df.schema["ts"].dataType, F.lit(at(100)), None)
+    plan = _age(tagged, [rule], how, None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in plan and plan.count("timestamp_micros") < 4
