@@ -57,7 +57,8 @@ SELECT id_disposition, code_commune, annee, valeur_fonciere, prix_m2, nom_commun
 FROM sales LEFT JOIN geography USING (code_commune)""")
 def left_enrich_geo(spark, sf_dir):
     sales = roles.sales(spark, sf_dir).select(*SALE_COLUMNS)
-    joined = enrich_left(sales, [(roles.geography(spark, sf_dir), ["code_commune"])])
+    # a code has many areas: a broadcast join would compute a sale's columns again for each of them
+    joined = enrich_left(sales, [(roles.geography(spark, sf_dir).hint("merge"), ["code_commune"])])
     return joined.select(*SALE_COLUMNS, "nom_commune_insee", "departement", "latitude", "longitude")
 
 

@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from terrametry.operators.profiles import (
     active_profile, breakdown, creations_by_year, employer_profile,
 )
 from terrametry.operators.warehouse import reused
+from terrametry.plans.queries.enrichment import left_enrich_geo
 
 ESTABLISHMENTS = [
     # siret, commune, name, section, state, year, employer
@@ -105,3 +107,19 @@ def test_halves_reunite(spark, rows):
     some, none = split_on_null(df, "location")
     assert none.columns == ["id"] and (some.count(), none.count()) == (1, 1)
     assert rows(union_documents(some, none)) == rows(df)
+
+
+def test_sales_are_computed_before_they_fan_out_over_areas(spark, tmp_path):
+    tables = {
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_acctbal double", [(1, "a", 3, 1.5), (1001, "b", 3, 2.5), (2, "c", 3, 0.0)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp_ntz", [
+            (7, 1, "F", "1", datetime(1996, 1, 2)), (8, 2, "O", "2", datetime(1997, 1, 2))]),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string", [
+            (7, 1, 10.0, 20000.0, 0.1, "A"), (8, 1, 10.0, 30000.0, 0.1, "R")]),
+    }
+    for name, (schema, data) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    df = left_enrich_geo(spark, str(tmp_path))
+    assert sorted((r.id_disposition, r.prix_m2, r.nom_commune_insee) for r in df.collect()) == [
+        ("7-1", 2000.0, "a"), ("7-1", 2000.0, "b"), ("8-1", 3000.0, "c")]
+    assert "SortMergeJoin [code_commune" in df._jdf.queryExecution().executedPlan().toString()
