@@ -131,3 +131,24 @@ def test_shards_average_what_they_touched():
         ("shard", pa.int32()), ("n", pa.int64()), ("part", pa.int32()), ("ids", pa.binary()), ("own", pa.binary())]))).to_pylist()[0]
     assert np.frombuffer(out["ids"], np.int32).tolist() == [3, 5]
     assert np.frombuffer(out["own"], np.float32).reshape(2, -1)[:, 0].tolist() == [1.0, 5.0]
+
+
+def test_a_shards_rows_stay_small_and_meet_without_a_shuffle(spark, monkeypatch):
+    """Rows do not grow with the shard, a task gets few of them at once, and the network is that of one row a shard."""
+    rng = random.Random(11)
+    docs = spark.createDataFrame([(k, prose(rng, rng.randint(0, 9))) for k in range(300)], "doc_id long, text string")
+    known = spark.createDataFrame([(k, k % 2) for k in range(300)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD", 100)
+    nets, batch_rows = [], spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for piece in (10, 1000):
+        monkeypatch.setattr(toxicity, "PIECE", piece, raising=False)
+        shards = toxicity._labelled_shards(docs, known, "doc_id", "text", "toxic")
+        if piece == 10:
+            sizes = [r.n for r in shards.collect()]
+            assert max(sizes) < 40 and sum(sizes) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(300))
+            together = shards.groupBy("fitting", "shard").agg(F.sum("n"))
+            assert "Exchange" not in together._jdf.queryExecution().executedPlan().toString()
+        nets.append(toxicity.train(shards.where("fitting"), np.float32(0.5)))
+    assert np.array_equal(nets[0].embedding, nets[1].embedding) and np.array_equal(nets[0].weights, nets[1].weights)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch_rows
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("labelled_shards_")]
